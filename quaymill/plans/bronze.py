@@ -35,7 +35,8 @@ def _fit_to_bronze(lake: Lake, rows: DataFrame) -> DataFrame:
     if not lake.batches(TRIPS, trips.BATCH):
         return aligned
     schema = lake.read(TRIPS, partition_by=trips.BATCH).schema
-    return fit_schema(aligned, schema, skip=trips.AUDIT_COLUMNS)
+    absent = tuple(name for name in trips.AUDIT_COLUMNS if name not in rows.columns)
+    return fit_schema(aligned, schema, skip=absent)
 
 
 def backfill_source_system(lake: Lake) -> bool:
@@ -55,6 +56,11 @@ def ingest_files(lake: Lake, paths: Mapping[str, str]) -> list[str]:
     return sorted(missing)
 
 
+def ingest_months(lake: Lake, rows: DataFrame, source_system: str, source_file: str) -> None:
+    """Land rows that carry their month, for every month that bronze lacks, in one job."""
+    _land(lake, _fit_to_bronze(lake, rows), source_system, source_file=source_file)
+
+
 def ingest_month(
     lake: Lake, rows: DataFrame, month: str, source_system: str, source_file: str
 ) -> bool:

@@ -66,15 +66,15 @@ def build_silver(lake: Lake, months: Iterable[str | None] | None = None) -> Data
     if None in months:
         chosen = chosen | F.col(trips.BATCH).isNull()
     bronze = bronze.where(chosen)
-    zones = lake.read(BRONZE_ZONES)
+    lookup = trips.zone_lookup(lake.read(BRONZE_ZONES))
 
-    classified = trips.classify_trips(bronze, zones)
+    classified = trips.classify_trips(bronze, lookup)
     unique = keep_first_per_batch(
         classified, trips.TRIP_KEY, trips.BATCH, exclude=F.col(REASON).isNotNull()
     )
     set_aside = rejected(unique.aside).hint("rebalance", trips.BATCH)
     quarantine = lake.stage(QUARANTINE, set_aside, trips.BATCH)
-    silver = lake.stage(TRIPS, trips.to_silver(unique.rows, zones), trips.BATCH)
+    silver = lake.stage(TRIPS, trips.to_silver(unique.rows, lookup), trips.BATCH)
 
     ledger = lake.stage(LEDGER, reconcile(bronze, silver.rows, quarantine.rows, unique.removed))
     wrong = unbalanced(ledger.rows).orderBy(trips.BATCH).limit(5).collect()

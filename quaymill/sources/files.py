@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -32,22 +33,27 @@ def write_json_lines(frame: DataFrame, path: str, files: int | None = None) -> N
 
 
 def read_batches(
-    spark: SparkSession, paths: Mapping[str, str], batch_column: str, prepare
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    batch_column: str,
+    prepare: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """One frame over many batch files whose schemas drift.
+    """One frame over many batch files whose schemas drift; ``paths`` maps batch to path.
 
-    ``prepare`` brings each file to the common types. The batch key is a literal per scan, so a
-    filter on it prunes whole files at planning time.
+    ``prepare`` brings files of one schema to the common types. The batch is a literal per scan,
+    so a filter on it drops whole scans at planning time.
     """
-    union: DataFrame | None = None
+    alike: dict[str, list[DataFrame]] = {}
     for batch in sorted(paths):
         scan = spark.read.parquet(paths[batch])
-        scan = scan.select("*", F.col("_metadata.file_name").alias("source_file"))
-        frame = prepare(scan).withColumn(batch_column, F.lit(batch))
-        union = frame if union is None else union.unionByName(frame, allowMissingColumns=True)
-    if union is None:
-        raise ValueError("no batch files given")
-    return union
+        labelled = scan.select(
+            "*",
+            F.col("_metadata.file_name").alias("source_file"),
+            F.lit(batch).alias(batch_column),
+        )
+        alike.setdefault(scan.schema.simpleString(), []).append(labelled)
+    prepared = [prepare(reduce(DataFrame.union, scans)) for scans in alike.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), prepared)
 
 
 def data_files(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from quaymill.operators.schema import ensure_column
-from quaymill.sources.paths import make_dir, move_path, partition_dirs, path_exists, remove_path
+from quaymill.sources.paths import move_path, partition_dirs, path_exists, remove_path
 from quaymill.sources.workspace import materialise
 
 HISTORY = "write_history"
@@ -106,26 +106,24 @@ class Lake:
 
         Old rows are moved aside before the new ones take their place and deleted only at the end.
         """
-        target = self.path(table)
-        if partition_by is None:
-            # The staged directory itself becomes the table.
-            moves = {"": ""}
-            gone = []
-        else:
-            make_dir(self.spark, target)
+        target, aside = self.path(table), f"{staged.path}-replaced"
+        live: dict[str | None, str] = {}
+        new: dict[str | None, str] = {}
+        if partition_by is not None:
             live = partition_dirs(self.spark, target, partition_by)
             new = partition_dirs(self.spark, staged.path, partition_by)
-            moves = {name: live.get(value, "") for value, name in new.items()}
-            gone = [live[value] for value in set(replaced) - set(new) if value in live]
-
-        aside = f"{staged.path}-replaced"
-        for name in moves:
-            live_dir = f"{target}/{name}".rstrip("/")
-            if path_exists(self.spark, live_dir):
-                move_path(self.spark, live_dir, f"{aside}/{name}".rstrip("/"))
-            move_path(self.spark, f"{staged.path}/{name}".rstrip("/"), live_dir)
-        for name in gone:
-            move_path(self.spark, f"{target}/{name}", f"{aside}/{name}")
+
+        if not live:
+            if path_exists(self.spark, target):
+                move_path(self.spark, target, aside)
+            move_path(self.spark, staged.path, target)
+        else:
+            for value, name in new.items():
+                if value in live:
+                    move_path(self.spark, f"{target}/{name}", f"{aside}/{name}")
+                move_path(self.spark, f"{staged.path}/{name}", f"{target}/{name}")
+            for value in (set(replaced) - set(new)) & set(live):
+                move_path(self.spark, f"{target}/{live[value]}", f"{aside}/{live[value]}")
         self.discard(staged)
         self.spark.catalog.refreshByPath(target)
 
@@ -144,14 +142,7 @@ class Lake:
 
     def append(self, table: str, frame: DataFrame, partition_by: str | None = None) -> None:
         """Add rows; new columns widen the table, but a column may not change type."""
-        if self._holds_files(table, partition_by):
-            known = {f.name: f.dataType for f in self.read(table, partition_by=partition_by).schema}
-            for field in frame.schema:
-                if known.get(field.name, field.dataType) != field.dataType:
-                    raise TypeError(
-                        f"{table}.{field.name} is {known[field.name].simpleString()}, "
-                        f"not {field.dataType.simpleString()}"
-                    )
+        self._require_same_types(table, frame, partition_by)
         writer = frame.write.mode("append")
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
@@ -159,9 +150,21 @@ class Lake:
         self.spark.catalog.refreshByPath(self.path(table))
         self._record(table, "APPEND")
 
+    def _require_same_types(self, table: str, frame: DataFrame, partition_by: str | None) -> None:
+        if not self._holds_files(table, partition_by):
+            return
+        known = {f.name: f.dataType for f in self.read(table, partition_by=partition_by).schema}
+        for field in frame.schema:
+            if known.get(field.name, field.dataType) != field.dataType:
+                raise TypeError(
+                    f"{table}.{field.name} is {known[field.name].simpleString()}, "
+                    f"not {field.dataType.simpleString()}"
+                )
+
     def append_new(self, table: str, frame: DataFrame, partition_by: str) -> None:
         """Add only batches the table does not have; each becomes visible whole or not at all."""
         present = self.batches(table, partition_by)
+        self._require_same_types(table, frame, partition_by)
         if present:
             frame = frame.where(~F.coalesce(_one_of(partition_by, present), F.lit(False)))
         staged = self.stage(table, frame, partition_by)

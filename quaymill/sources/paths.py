@@ -24,11 +24,6 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def make_dir(spark: SparkSession, path: str) -> None:
-    fs, target = _open(spark, path)
-    fs.mkdirs(target)
-
-
 def move_path(spark: SparkSession, source: str, target: str) -> None:
     """Rename within one file system; parents of ``target`` are created."""
     fs, old = _open(spark, source)

@@ -30,13 +30,18 @@ BENCH_MONTH, BENCH_ZONE = "1995-03", 7
 # --- inputs ---------------------------------------------------------------------------------
 
 
+def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxi.zone_lookup(derived.zones(spark, sf_dir))
+
+
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taxi.classify_trips(derived.bronze(spark, sf_dir), derived.zones(spark, sf_dir))
+    return taxi.classify_trips(derived.bronze(spark, sf_dir), _lookup(spark, sf_dir))
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = passed(_classified(spark, sf_dir))
-    return taxi.to_silver(taxi.drop_duplicate_trips(valid), derived.zones(spark, sf_dir))
+    lookup = _lookup(spark, sf_dir)
+    valid = passed(taxi.classify_trips(derived.bronze(spark, sf_dir), lookup))
+    return taxi.to_silver(taxi.drop_duplicate_trips(valid), lookup)
 
 
 def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,12 +76,12 @@ def quarantine_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze, zones = derived.bronze(spark, sf_dir), derived.zones(spark, sf_dir)
-    classified = taxi.classify_trips(bronze, zones)
+    bronze, lookup = derived.bronze(spark, sf_dir), _lookup(spark, sf_dir)
+    classified = taxi.classify_trips(bronze, lookup)
     unique = keep_first_per_batch(
         classified, taxi.TRIP_KEY, MONTH, exclude=F.col(REASON).isNotNull()
     )
-    silver = taxi.to_silver(unique.rows, zones)
+    silver = taxi.to_silver(unique.rows, lookup)
     return silver_plan.reconcile(bronze, silver, unique.aside, unique.removed)
 
 
@@ -98,9 +103,9 @@ def zone_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_zone_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = taxi.zone_ids(spark, derived.zones(spark, sf_dir))
+    lookup = _lookup(spark, sf_dir)
     columns = {"PULocationID": "pickup_known", "DOLocationID": "dropoff_known"}
-    flagged = flag_known(derived.bronze(spark, sf_dir), F.broadcast(ids), "location_id", columns)
+    flagged = flag_known(derived.bronze(spark, sf_dir), lookup, "location_id", columns)
     flags = [F.col(name).isNotNull().alias(name) for name in columns.values()]
     return flagged.groupBy(*flags).agg(F.count("*").alias("rows"))
 
@@ -309,19 +314,21 @@ def upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> Lake:
-    """Every month from Parquet files but the last, which comes as JSON lines; then silver."""
+    """History from one table, two months as Parquet files, the last as JSON lines; then silver."""
     lake = _lake(spark, "flow")
     raw = Lake(spark, work_path(spark, "raw"))
     raw.append("trips", derived.trips(spark, sf_dir).hint("rebalance", MONTH), MONTH)
-    *months, last = raw.batches("trips", MONTH)
-    last_rows = raw.read("trips", partition_by=MONTH).where(F.col(MONTH) == last).drop(MONTH)
+    *_, first, second, last = raw.batches("trips", MONTH)
+    rows = raw.read("trips", partition_by=MONTH)
+    last_rows = rows.where(F.col(MONTH) == last).drop(MONTH)
     write_json_lines(taxi.text_times(last_rows), raw.path("json"))
     zones = derived.zones(spark, sf_dir).select(*taxi.ZONE_COLUMNS)
     zones.write.option("header", True).csv(raw.path("zones"))
 
     bronze_plan.ingest_zones(lake, raw.path("zones"))
-    paths = {month: f"{raw.path('trips')}/{MONTH}={month}" for month in months}
-    bronze_plan.ingest_files(lake, paths)
+    bronze_plan.ingest_months(lake, rows.where(F.col(MONTH) < first), "parquet", "trips")
+    files = {month: f"{raw.path('trips')}/{MONTH}={month}" for month in (first, second)}
+    bronze_plan.ingest_files(lake, files)
     bronze_plan.ingest_json(lake, raw.path("json"), last)
     silver_plan.build_silver(lake)
     return lake
