@@ -61,16 +61,16 @@ def keep_first_per_batch(
     Rows that meet ``exclude`` are left out and returned as ``aside``. They are picked up in the
     same pass as the suspects, which suits conditions that few rows meet.
     """
-    exclude = F.lit(False) if exclude is None else exclude
+    exclude = F.lit(False) if exclude is None else F.coalesce(exclude, F.lit(False))
     scope = [batch, *keys]
-    key_hash = F.when(~exclude, F.xxhash64(*scope))
-    hashed = frame.withColumn(HASH, key_hash)
-    repeated = hashed.where(F.col(HASH).isNotNull()).groupBy(HASH).agg(F.count("*").alias("n"))
+    hashed = frame.withColumn(HASH, F.xxhash64(*scope))
+    repeated = hashed.where(~exclude).groupBy(HASH).agg(F.count("*").alias("n"))
     suspects = materialise(repeated.where(F.col("n") > 1).select(HASH), "repeated-keys")
 
     if within_rows(suspects, suspect_limit):
         known = F.broadcast(suspects.withColumn(SUSPECT, F.lit(True)))
         marked = hashed.join(known, HASH, "left").drop(HASH)
+        # An excluded row may share a suspect hash; that changes nothing for it.
         suspect = F.col(SUSPECT).isNotNull()
         picked = materialise(marked.where(exclude | suspect).drop(SUSPECT), "picked-rows")
         unique = marked.where(~exclude & ~suspect).select(*frame.columns)

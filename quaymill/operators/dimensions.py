@@ -24,8 +24,9 @@ def clean_dimension(
 
 
 def within_rows(frame: DataFrame, rows: int) -> bool:
-    """Whether the frame holds at most ``rows`` rows; stops counting just past the bound."""
-    return frame.limit(rows + 1).count() <= rows
+    """Whether the frame holds at most ``rows`` rows. A full count, because a limit would first
+    send that many rows of every partition to one task."""
+    return frame.count() <= rows
 
 
 def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quaymill import trips
 from quaymill.functions.columns import in_month
+from quaymill.operators.sample import first_rows
 from quaymill.operators.schema import columns_first, fit_schema, stamp
 from quaymill.sources.files import read_batches, read_json_lines, read_text_csv
 from quaymill.sources.jdbc import JdbcSource, Slices, read_jdbc
@@ -118,7 +119,7 @@ def months_present(frame: DataFrame) -> DataFrame:
 
 def month_sample(rows: DataFrame, month: str, size: int, order_by: list[str]) -> DataFrame:
     """The first ``size`` rows of a pickup month; the order makes the sample repeatable."""
-    return rows.where(in_month(F.col(trips.TRIP_TIMES[0]), month)).orderBy(*order_by).limit(size)
+    return first_rows(rows.where(in_month(F.col(trips.TRIP_TIMES[0]), month)), size, order_by)
 
 
 def inspect(bronze: DataFrame, rows: int = 5) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from quaymill import trips
 from quaymill.operators.dedup import keep_first_per_batch
+from quaymill.operators.dimensions import broadcast_if_small
 from quaymill.operators.quality import REASON, rejected
 from quaymill.plans.bronze import TRIPS as BRONZE_TRIPS, ZONES as BRONZE_ZONES
 from quaymill.sources.lake import Lake
+from quaymill.sources.workspace import materialise
 
 TRIPS = "silver/trips"
 LEDGER = "silver/recon"
@@ -66,7 +68,9 @@ def build_silver(lake: Lake, months: Iterable[str | None] | None = None) -> Data
     if None in months:
         chosen = chosen | F.col(trips.BATCH).isNull()
     bronze = bronze.where(chosen)
-    lookup = trips.zone_lookup(lake.read(BRONZE_ZONES))
+    # Written once: each of the passes below joins it in two roles.
+    zones = materialise(trips.zone_dimension(lake.read(BRONZE_ZONES)), "zone-lookup")
+    lookup = broadcast_if_small(zones)
 
     classified = trips.classify_trips(bronze, lookup)
     unique = keep_first_per_batch(
