@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quaymill.operators.dimensions import BROADCAST_ROWS, within_rows
-from quaymill.sources.workspace import materialise
+from quaymill.sources.workspace import Scratch
 
 COPIES = "_copies"
 HASH = "_key_hash"
@@ -50,6 +50,7 @@ def keep_first_per_batch(
     order_by: list[str] | None = None,
     exclude: Column | None = None,
     suspect_limit: int = BROADCAST_ROWS,
+    scratch: Scratch | None = None,
 ) -> Deduplicated:
     """``keep_first`` within each batch, for large frames where most keys are unique.
 
@@ -59,26 +60,28 @@ def keep_first_per_batch(
     ``suspect_limit`` every row takes the shuffled way.
 
     Rows that meet ``exclude`` are left out and returned as ``aside``. They are picked up in the
-    same pass as the suspects, which suits conditions that few rows meet.
+    same pass as the suspects, which suits conditions that few rows meet. The result reads
+    tables in ``scratch``.
     """
+    scratch = scratch or Scratch(frame.sparkSession, "dedup")
     exclude = F.lit(False) if exclude is None else F.coalesce(exclude, F.lit(False))
     scope = [batch, *keys]
     hashed = frame.withColumn(HASH, F.xxhash64(*scope))
     repeated = hashed.where(~exclude).groupBy(HASH).agg(F.count("*").alias("n"))
-    suspects = materialise(repeated.where(F.col("n") > 1).select(HASH), "repeated-keys")
+    suspects = scratch.keep(repeated.where(F.col("n") > 1).select(HASH), "repeated-keys")
 
     if within_rows(suspects, suspect_limit):
         known = F.broadcast(suspects.withColumn(SUSPECT, F.lit(True)))
         marked = hashed.join(known, HASH, "left").drop(HASH)
         # An excluded row may share a suspect hash; that changes nothing for it.
         suspect = F.col(SUSPECT).isNotNull()
-        picked = materialise(marked.where(exclude | suspect).drop(SUSPECT), "picked-rows")
+        picked = scratch.keep(marked.where(exclude | suspect).drop(SUSPECT), "picked-rows")
         unique = marked.where(~exclude & ~suspect).select(*frame.columns)
     else:
         picked, unique = frame, None
 
     candidates = picked.where(~exclude)
-    resolved = materialise(keep_first(candidates, scope, order_by, COPIES), "resolved-keys")
+    resolved = scratch.keep(keep_first(candidates, scope, order_by, COPIES), "resolved-keys")
     removed = resolved.groupBy(batch).agg(F.sum(F.col(COPIES) - 1).alias("removed"))
     rows = resolved.select(*frame.columns).hint("rebalance", batch)
     return Deduplicated(

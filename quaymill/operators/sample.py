@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quaymill.sources.workspace import materialise
+from quaymill.sources.workspace import Scratch
 
 ONE_TASK_ROWS = 10_000
 
@@ -22,7 +22,8 @@ def first_rows(
         return frame.orderBy(*order_by).limit(size)
     spread = frame.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     # The id holds the partition in its upper bits and the row's place within it in the lower 33.
-    numbered = materialise(spread.withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    scratch = Scratch(frame.sparkSession, "first-rows")
+    numbered = scratch.keep(spread.withColumn("_id", F.monotonically_increasing_id()), "ordered")
     part = F.shiftright("_id", 33)
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))

@@ -10,11 +10,14 @@ from quaymill import trips
 from quaymill.functions.measures import Arithmetic, Floating
 from quaymill.plans.silver import TRIPS as SILVER_TRIPS
 from quaymill.sources.lake import Lake
-from quaymill.sources.workspace import materialise
+from quaymill.sources.workspace import Scratch
 
 ZONE_HOUR = "gold/revenue_by_zone_hour"
 DAILY = "gold/daily_summary"
 PAYMENT = "gold/payment_borough"
+ZONE_HOUR_KEYS = ["pickup_date", "pickup_hour", "pu_location_id"]
+DAILY_KEYS = ["pickup_date"]
+PAYMENT_KEYS = ["source_month", "pickup_borough", "payment_type"]
 
 
 class CountMismatch(RuntimeError):
@@ -46,22 +49,15 @@ def build_gold(
     if months is not None:
         silver = silver.where(F.col(trips.BATCH).isin(months))
 
-    grain = materialise(trips.trip_grain(silver, arithmetic), "trip-grain")
     marts = trips.TripMarts(arithmetic)
-    written = {
-        ZONE_HOUR: lake.upsert(
-            ZONE_HOUR,
-            marts.revenue_by_zone_hour(grain),
-            ["pickup_date", "pickup_hour", "pu_location_id"],
-            partition_by=trips.BATCH,
-        ),
-        DAILY: lake.upsert(DAILY, marts.daily_summary(grain), ["pickup_date"]),
-        PAYMENT: lake.upsert(
-            PAYMENT,
-            marts.payment_borough(grain),
-            ["source_month", "pickup_borough", "payment_type"],
-        ),
-    }
+    with Scratch(lake.spark, "gold") as scratch:
+        grain = scratch.keep(trips.trip_grain(silver, arithmetic), "grain")
+        hours = marts.revenue_by_zone_hour(grain)
+        written = {
+            ZONE_HOUR: lake.upsert(ZONE_HOUR, hours, ZONE_HOUR_KEYS, partition_by=trips.BATCH),
+            DAILY: lake.upsert(DAILY, marts.daily_summary(grain), DAILY_KEYS),
+            PAYMENT: lake.upsert(PAYMENT, marts.payment_borough(grain), PAYMENT_KEYS),
+        }
 
     daily = lake.read(DAILY)
     if months is not None:

@@ -12,7 +12,7 @@ from quaymill.operators.dimensions import broadcast_if_small
 from quaymill.operators.quality import REASON, rejected
 from quaymill.plans.bronze import TRIPS as BRONZE_TRIPS, ZONES as BRONZE_ZONES
 from quaymill.sources.lake import Lake
-from quaymill.sources.workspace import materialise
+from quaymill.sources.workspace import Scratch
 
 TRIPS = "silver/trips"
 LEDGER = "silver/recon"
@@ -68,19 +68,24 @@ def build_silver(lake: Lake, months: Iterable[str | None] | None = None) -> Data
     if None in months:
         chosen = chosen | F.col(trips.BATCH).isNull()
     bronze = bronze.where(chosen)
-    # Written once: each of the passes below joins it in two roles.
-    zones = materialise(trips.zone_dimension(lake.read(BRONZE_ZONES)), "zone-lookup")
-    lookup = broadcast_if_small(zones)
-
-    classified = trips.classify_trips(bronze, lookup)
-    unique = keep_first_per_batch(
-        classified, trips.TRIP_KEY, trips.BATCH, exclude=F.col(REASON).isNotNull()
-    )
-    set_aside = rejected(unique.aside).hint("rebalance", trips.BATCH)
-    quarantine = lake.stage(QUARANTINE, set_aside, trips.BATCH)
-    silver = lake.stage(TRIPS, trips.to_silver(unique.rows, lookup), trips.BATCH)
-
-    ledger = lake.stage(LEDGER, reconcile(bronze, silver.rows, quarantine.rows, unique.removed))
+    with Scratch(lake.spark, "silver") as scratch:
+        # Written once: each of the passes below joins it in two roles.
+        zones = scratch.keep(trips.zone_dimension(lake.read(BRONZE_ZONES)), "zones")
+        lookup = broadcast_if_small(zones)
+        classified = trips.classify_trips(bronze, lookup)
+        unique = keep_first_per_batch(
+            classified,
+            trips.TRIP_KEY,
+            trips.BATCH,
+            exclude=F.col(REASON).isNotNull(),
+            scratch=scratch,
+        )
+        set_aside = rejected(unique.aside).hint("rebalance", trips.BATCH)
+        quarantine = lake.stage(QUARANTINE, set_aside, trips.BATCH)
+        silver = lake.stage(TRIPS, trips.to_silver(unique.rows, lookup), trips.BATCH)
+        counts = reconcile(bronze, silver.rows, quarantine.rows, unique.removed)
+        ledger = lake.stage(LEDGER, counts)
+
     wrong = unbalanced(ledger.rows).orderBy(trips.BATCH).limit(5).collect()
     if wrong:
         for staged in (quarantine, silver, ledger):
@@ -89,6 +94,6 @@ def build_silver(lake: Lake, months: Iterable[str | None] | None = None) -> Data
 
     lake.publish_recorded(QUARANTINE, quarantine, trips.BATCH, months)
     lake.publish_recorded(TRIPS, silver, trips.BATCH, months)
-    lake.upsert(LEDGER, ledger.rows, [trips.BATCH])
+    lake.replace_rows(LEDGER, ledger.rows, chosen)
     lake.discard(ledger)
     return lake.read(LEDGER).where(chosen)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructType
 
 from quaymill.operators.schema import ensure_column
 from quaymill.sources.paths import move_path, partition_dirs, path_exists, remove_path
-from quaymill.sources.workspace import materialise
+from quaymill.sources.workspace import Scratch
 
 HISTORY = "write_history"
 HISTORY_SCHEMA = (
@@ -88,6 +88,8 @@ class Lake:
     # --- staging and publishing -------------------------------------------------------------
 
     def stage(self, table: str, frame: DataFrame, partition_by: str | None = None) -> Staged:
+        if partition_by is not None and frame.schema[partition_by].dataType != StringType():
+            raise TypeError(f"{table}: partition column {partition_by} must be text")
         path = f"{self.root}/_staging/{table.replace('/', '.')}-{uuid.uuid4().hex}"
         writer = frame.write
         if partition_by is not None:
@@ -187,13 +189,22 @@ class Lake:
         staged = self.stage(table, chosen.hint("rebalance", partition_by), partition_by)
         self.publish_recorded(table, staged, partition_by, batches)
 
+    def replace_rows(self, table: str, frame: DataFrame, replaced: Column) -> None:
+        """As ``replace_batches`` for an unpartitioned table: the frame for the rows that match."""
+        if self.exists(table):
+            kept = self.read(table).where(~F.coalesce(replaced, F.lit(False)))
+            frame = kept.unionByName(frame, allowMissingColumns=True)
+        staged = self.stage(table, frame)
+        self.publish(table, staged)
+        self._record(table, "REPLACE")
+
     def fill_nulls(
         self, table: str, column: str, value: str, partition_by: str, dtype: str = "string"
     ) -> bool:
         """Set a column where it is null, adding it if absent; rewrites only batches that need it."""
         current = ensure_column(self.read(table, partition_by=partition_by), column, dtype)
         missing = current.where(F.col(column).isNull())
-        affected = _values(missing.groupBy(partition_by).count(), partition_by)
+        affected = _rows_per(missing, partition_by)
         if not affected:
             return False
         filled = F.coalesce(F.col(column), F.lit(value).cast(dtype))
@@ -211,34 +222,37 @@ class Lake:
         Source keys must be unique. Only partitions that hold a source row or a matched old row
         are rewritten, so a key may move between partitions. Returns the row counts.
         """
-        source = materialise(source, "upsert-source")
-        repeated = source.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-        if not repeated.isEmpty():
-            raise ValueError(f"upsert into {table}: source keys {keys} are not unique")
+        with Scratch(self.spark, "upsert") as scratch:
+            return self._upsert(table, scratch.keep(source, "source"), keys, partition_by)
 
+    def _upsert(
+        self, table: str, source: DataFrame, keys: list[str], partition_by: str | None
+    ) -> Row:
         group = F.col(partition_by) if partition_by else F.lit(None).cast("string")
-        arriving = _values(source.groupBy(group.alias("batch")).count(), "batch")
+        per_key = source.groupBy(*keys).agg(F.count("*").alias("n"), F.min(group).alias("_batch"))
+        per_batch = per_key.groupBy("_batch").agg(F.count("*").alias("rows"), F.max("n").alias("n"))
+        arriving = {row["_batch"]: row for row in per_batch.collect()}
+        if any(row["n"] > 1 for row in arriving.values()):
+            raise ValueError(f"upsert into {table}: source keys {keys} are not unique")
+
         updated, merged, touched = 0, source, set(arriving)
         if self._holds_files(table, partition_by):
             target = self.read(table, partition_by=partition_by)
-            located = target.withColumn("batch", group).select(*keys, "batch")
-            hits = located.alias("t").join(
-                source.select(*keys).alias("s"), _null_safe(keys), "left_semi"
-            )
-            matched = _values(hits.groupBy("batch").count(), "batch")
+            source_keys = source.select(*keys).alias("s")
+            located = target.withColumn("_batch", group).select(*keys, "_batch").alias("t")
+            hits = located.join(source_keys, _null_safe(keys), "left_semi")
+            matched = _rows_per(hits, "_batch")
             updated = sum(matched.values())
             touched |= set(matched)
             if partition_by:
                 target = target.where(_one_of(partition_by, touched))
-            kept = target.alias("t").join(
-                source.select(*keys).alias("s"), _null_safe(keys), "left_anti"
-            )
+            kept = target.alias("t").join(source_keys, _null_safe(keys), "left_anti")
             merged = kept.unionByName(source, allowMissingColumns=True)
         if partition_by:
             merged = merged.hint("rebalance", partition_by)
         staged = self.stage(table, merged, partition_by)
         self.publish(table, staged, partition_by, touched)
-        inserted = sum(arriving.values()) - updated
+        inserted = sum(row["rows"] for row in arriving.values()) - updated
         self._record(table, "MERGE", inserted=inserted, updated=updated)
         return Row(rows_inserted=inserted, rows_updated=updated)
 
@@ -270,6 +284,7 @@ class Lake:
         entry.write.mode("append").parquet(self.path(HISTORY))
 
 
-def _values(counts: DataFrame, column: str) -> dict[str | None, int]:
+def _rows_per(frame: DataFrame, column: str) -> dict[str | None, int]:
     """Rows per batch on the driver: one entry per partition directory, never per row."""
-    return {row[column]: row["count"] for row in counts.collect()}
+    counts = frame.groupBy(column).agg(F.count("*").alias("rows"))
+    return {row[column]: row["rows"] for row in counts.collect()}

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quaymill.sources.paths import remove_path
+
 SHARED_DIR = "spark.checkpoint.dir"
 
 
@@ -26,9 +28,28 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quaymill/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(frame: DataFrame, label: str) -> DataFrame:
-    """Write the frame once to the shared folder and return a scan of the written table."""
-    spark = frame.sparkSession
-    path = work_path(spark, label)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+class Scratch:
+    """Intermediate tables of one job, under one folder of the shared space.
+
+    As a context manager it removes them at the end; by hand, call ``clear`` once no frame that
+    reads them is needed.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.path = work_path(spark, label)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        remove_path(self.spark, self.path)
+
+    def keep(self, frame: DataFrame, name: str) -> DataFrame:
+        """Write the frame once and return a scan of what was written."""
+        path = f"{self.path}/{name}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)

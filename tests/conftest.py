@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__ui__enabled="false",
+        # Compiling costs more than it saves on a few hundred rows.
+        spark__sql__codegen__wholeStage="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

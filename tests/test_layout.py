@@ -27,7 +27,12 @@ def table(spark, tmp_path):
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 17 % 31).cast("int")).alias("day"),
         (F.col("id") % 1000).alias("v"),
     )
-    same = rows.where("v = 1").limit(1).crossJoin(spark.range(20_000)).drop("id")
+    same = spark.range(20_000).select(
+        F.lit("2024-01").alias("month"),
+        F.lit(31).alias("zone"),
+        F.lit("2024-01-18").cast("date").alias("day"),
+        F.lit(1).cast("bigint").alias("v"),
+    )
     rows.unionByName(same).repartition(16).write.parquet(path)
     return path
 
