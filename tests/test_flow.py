@@ -12,7 +12,8 @@ from quaymill.functions.measures import Exact, Floating
 from quaymill.plans import bronze as bronze_plan, gold as gold_plan, silver as silver_plan
 from quaymill.plans.gold import CountMismatch, build_gold
 from quaymill.plans.silver import RowsLost, build_silver
-from quaymill.sources.files import write_json_lines
+from quaymill.plans.sources import export_json_sample
+from quaymill.sources.files import read_json_lines, write_json_lines
 from quaymill.sources.lake import Lake
 
 MONTHS = ["2024-01", "2024-02", "2024-03"]
@@ -246,6 +247,19 @@ def test_ratio_is_null_when_the_fares_cancel(spark):
         assert (row.tip_pct, row.avg_distance, row.avg_fare, row.trips) == (None, None, 0.0, 2)
 
 
+def test_sample_is_exported_once(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    rows = taxi.align(month_rows(spark, MONTHS[0], 100))
+    order = ["tpep_pickup_datetime"]
+    assert not export_json_sample(rows, str(tmp_path), MONTHS[0], 5, order)
+    assert export_json_sample(rows, path, MONTHS[0], 5, order, files=1)
+    assert not export_json_sample(rows, path, MONTHS[0], 50, order)
+    back = taxi.parse_times(read_json_lines(spark, path, taxi.json_schema()))
+    assert sorted(r[0] for r in back.select("tpep_pickup_datetime").collect()) == sorted(
+        r[0] for r in rows.orderBy(*order).select(*order).limit(5).collect()
+    )
+
+
 def test_top_rows_break_ties_by_key(spark):
     rows = [(dt.date(2024, 1, d), h, 1, "z", "b", 1, 10.0) for d in (2, 1) for h in (1, 0)]
     revenue = spark.createDataFrame(

@@ -205,6 +205,15 @@ extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
 congestion_surcharge, "Airport_fee"
 """
 
+_BY_ALL_COLUMNS = ", ".join(f"{name} NULLS FIRST" for name in _SOURCE_COLUMNS.split(","))
+
+_MONTH_SAMPLE = (
+    _TRIPS
+    + f"SELECT {_SOURCE_COLUMNS} FROM bronze "
+    "WHERE strftime(tpep_pickup_datetime, '%Y-%m') = '1996-05' "
+    f"ORDER BY {_BY_ALL_COLUMNS} LIMIT 100"
+)
+
 
 def oracle_sql() -> dict[str, str]:
     silver = _SILVER
@@ -279,11 +288,11 @@ def oracle_sql() -> dict[str, str]:
         "csv_zones": "SELECT CAST(n_nationkey AS VARCHAR) AS \"LocationID\", "
         'r_name AS "Borough", n_name AS "Zone", \'derived\' AS service_zone '
         "FROM nation JOIN region ON n_regionkey = r_regionkey",
-        "pickup_month_sample": _TRIPS
-        + f"SELECT {_SOURCE_COLUMNS} FROM bronze "
-        "WHERE strftime(tpep_pickup_datetime, '%Y-%m') = '1996-05' "
-        f"ORDER BY {', '.join(c.strip() + ' NULLS FIRST' for c in _SOURCE_COLUMNS.split(','))} "
-        "LIMIT 100",
+        "pickup_month_sample": _MONTH_SAMPLE,
+        "exported_month_sample": _MONTH_SAMPLE,
+        "first_trips": _TRIPS
+        + f"SELECT {_SOURCE_COLUMNS}, source_month FROM bronze "
+        f"ORDER BY {_BY_ALL_COLUMNS}, source_month LIMIT 20000",
         # table writes
         "append_new_months": _TRIPS
         + "SELECT source_month, count(*) AS rows FROM bronze GROUP BY 1",

@@ -14,8 +14,10 @@ from quaymill.operators.dedup import keep_first, keep_first_per_batch
 from quaymill.operators.dimensions import flag_known
 from quaymill.operators.layout import refile
 from quaymill.operators.quality import REASON, passed, reason_histogram, rejected
+from quaymill.operators.sample import first_rows
 from quaymill.operators.schema import fit_schema
 from quaymill.plans import bronze as bronze_plan, gold as gold_plan, layout, silver as silver_plan
+from quaymill.plans.sources import export_json_sample
 from quaymill.sources.files import read_json_lines, read_text_csv, write_json_lines
 from quaymill.sources.lake import Lake
 from quaymill.sources.workspace import work_path
@@ -248,6 +250,21 @@ def pickup_month_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_plan.month_sample(rows, "1996-05", 100, rows.columns)
 
 
+def exported_month_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sample by way of a JSON export; the second export must leave the first alone."""
+    path = work_path(spark, "export")
+    rows = derived.trips(spark, sf_dir).drop(MONTH)
+    export_json_sample(rows, path, "1996-05", 100, rows.columns)
+    export_json_sample(rows, path, "1996-06", 100, rows.columns)
+    return taxi.parse_times(read_json_lines(spark, path, taxi.json_schema()))
+
+
+def first_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More first rows than one task should sort."""
+    rows = derived.trips(spark, sf_dir)
+    return first_rows(rows, 20_000, rows.columns)
+
+
 # --- table writes ---------------------------------------------------------------------------
 
 
@@ -390,6 +407,8 @@ QUERIES = [
     json_roundtrip,
     csv_zones,
     pickup_month_sample,
+    exported_month_sample,
+    first_trips,
     append_new_months,
     replace_month,
     backfill_source_system,
