@@ -51,9 +51,22 @@ def read_options(source: JdbcSource, dbtable: str, slices: Slices | None = None)
 
 
 def read_jdbc(
-    spark: SparkSession, source: JdbcSource, dbtable: str, slices: Slices | None = None
+    spark: SparkSession,
+    source: JdbcSource,
+    dbtable: str,
+    slices: Slices | None = None,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
-    return spark.read.format("jdbc").options(**read_options(source, dbtable, slices)).load()
+    """Scan a table or a parenthesised query.
+
+    ``slices`` are of equal width; where rows crowd into some of them, give ``predicates``
+    instead: conditions that split the rows evenly, one task each.
+    """
+    options = read_options(source, dbtable, slices)
+    if predicates is None:
+        return spark.read.format("jdbc").options(**options).load()
+    connection = {key: options[key] for key in options if key not in ("url", "dbtable")}
+    return spark.read.jdbc(source.url, dbtable, predicates=predicates, properties=connection)
 
 
 def count_query(table: str) -> str:
