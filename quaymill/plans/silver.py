@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,7 +12,7 @@ from quaymill.operators.dedup import keep_first_per_batch
 from quaymill.operators.dimensions import broadcast_if_small
 from quaymill.operators.quality import REASON, rejected
 from quaymill.plans.bronze import TRIPS as BRONZE_TRIPS, ZONES as BRONZE_ZONES
-from quaymill.sources.lake import Lake
+from quaymill.sources.lake import Lake, Staged
 from quaymill.sources.workspace import Scratch
 
 TRIPS = "silver/trips"
@@ -68,7 +69,13 @@ def build_silver(lake: Lake, months: Iterable[str | None] | None = None) -> Data
     if None in months:
         chosen = chosen | F.col(trips.BATCH).isNull()
     bronze = bronze.where(chosen)
-    with Scratch(lake.spark, "silver") as scratch:
+    with Scratch(lake.spark, "silver") as scratch, ExitStack() as leftovers:
+
+        def stage(table: str, frame: DataFrame, partition_by: str | None = None) -> Staged:
+            staged = lake.stage(table, frame, partition_by)
+            leftovers.callback(lake.discard, staged)
+            return staged
+
         # Written once: each of the passes below joins it in two roles.
         zones = scratch.keep(trips.zone_dimension(lake.read(BRONZE_ZONES)), "zones")
         lookup = broadcast_if_small(zones)
@@ -81,19 +88,15 @@ def build_silver(lake: Lake, months: Iterable[str | None] | None = None) -> Data
             scratch=scratch,
         )
         set_aside = rejected(unique.aside).hint("rebalance", trips.BATCH)
-        quarantine = lake.stage(QUARANTINE, set_aside, trips.BATCH)
-        silver = lake.stage(TRIPS, trips.to_silver(unique.rows, lookup), trips.BATCH)
+        quarantine = stage(QUARANTINE, set_aside, trips.BATCH)
+        silver = stage(TRIPS, trips.to_silver(unique.rows, lookup), trips.BATCH)
         counts = reconcile(bronze, silver.rows, quarantine.rows, unique.removed)
-        ledger = lake.stage(LEDGER, counts)
-
-    wrong = unbalanced(ledger.rows).orderBy(trips.BATCH).limit(5).collect()
-    if wrong:
-        for staged in (quarantine, silver, ledger):
-            lake.discard(staged)
-        raise RowsLost(f"reconciliation failed, first batches: {wrong}")
-
-    lake.publish_recorded(QUARANTINE, quarantine, trips.BATCH, months)
-    lake.publish_recorded(TRIPS, silver, trips.BATCH, months)
-    lake.replace_rows(LEDGER, ledger.rows, chosen)
-    lake.discard(ledger)
+        ledger = stage(LEDGER, counts)
+        wrong = unbalanced(ledger.rows).orderBy(trips.BATCH).limit(5).collect()
+        if wrong:
+            raise RowsLost(f"reconciliation failed, first batches: {wrong}")
+
+        lake.publish_recorded(QUARANTINE, quarantine, trips.BATCH, months)
+        lake.publish_recorded(TRIPS, silver, trips.BATCH, months)
+        lake.replace_rows(LEDGER, ledger.rows, chosen)
     return lake.read(LEDGER).where(chosen)

@@ -94,7 +94,11 @@ class Lake:
         writer = frame.write
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
+        try:
+            writer.parquet(path)
+        except BaseException:
+            remove_path(self.spark, path)
+            raise
         return Staged(path, self.spark.read.schema(frame.schema).parquet(path))
 
     def publish(
@@ -116,19 +120,28 @@ class Lake:
             new = partition_dirs(self.spark, staged.path, partition_by)
 
         if not live:
-            if path_exists(self.spark, target):
-                move_path(self.spark, target, aside)
-            move_path(self.spark, staged.path, target)
+            self._swap(staged.path, target, aside)
         else:
-            for value, name in new.items():
-                if value in live:
-                    move_path(self.spark, f"{target}/{name}", f"{aside}/{name}")
-                move_path(self.spark, f"{staged.path}/{name}", f"{target}/{name}")
+            for name in new.values():
+                self._swap(f"{staged.path}/{name}", f"{target}/{name}", f"{aside}/{name}")
             for value in (set(replaced) - set(new)) & set(live):
                 move_path(self.spark, f"{target}/{live[value]}", f"{aside}/{live[value]}")
         self.discard(staged)
+        remove_path(self.spark, aside)
         self.spark.catalog.refreshByPath(target)
 
+    def _swap(self, new: str, target: str, aside: str) -> None:
+        """Put ``new`` at ``target``; what was there goes ``aside``, or back if the move fails."""
+        occupied = path_exists(self.spark, target)
+        if occupied:
+            move_path(self.spark, target, aside)
+        try:
+            move_path(self.spark, new, target)
+        except BaseException:
+            if occupied:
+                move_path(self.spark, aside, target)
+            raise
+
     def publish_recorded(
         self, table: str, staged: Staged, partition_by: str, batches: Iterable[str | None]
     ) -> None:
@@ -137,8 +150,8 @@ class Lake:
         self._record(table, "REPLACE")
 
     def discard(self, staged: Staged) -> None:
+        """Drop a staged write; harmless once it is published."""
         remove_path(self.spark, staged.path)
-        remove_path(self.spark, f"{staged.path}-replaced")
 
     # --- writes -----------------------------------------------------------------------------
 
