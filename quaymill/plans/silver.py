@@ -61,7 +61,11 @@ def build_silver(lake: Lake, months: Iterable[str | None] | None = None) -> Data
     Both outputs are staged first, and counted as written, before any of them is published. The
     duplicates are counted by the deduplication itself, so the proof covers joins and dedup.
     """
-    months = lake.batches(BRONZE_TRIPS, trips.BATCH) if months is None else list(months)
+    present = lake.batches(BRONZE_TRIPS, trips.BATCH)
+    months = present if months is None else list(months)
+    unknown = set(months) - set(present)
+    if unknown:
+        raise ValueError(f"bronze has no rows for {unknown}")
     if not months:
         return lake.spark.createDataFrame([], LEDGER_SCHEMA)
     bronze = lake.read(BRONZE_TRIPS, partition_by=trips.BATCH)

@@ -169,6 +169,8 @@ def test_fan_out_in_the_zone_join_is_caught(monkeypatch, lake, raw):
 
 def test_silver_without_bronze_is_empty(lake):
     assert build_silver(lake).isEmpty()
+    with pytest.raises(ValueError, match="2024-01"):
+        build_silver(lake, ["2024-01"])
 
 
 def plain_daily(silver):
