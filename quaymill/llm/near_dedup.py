@@ -8,8 +8,9 @@ also sketched on pairs of terms, of which an edit breaks fewer.
 
 Candidates. Texts with a sketch in common form a bucket. Each text of a bucket is paired with the
 bucket's first and last text only, so a bucket of any size gives two pairs per text. Texts
-that turn out not to be similar to a pivot get further rounds among themselves, with other pivots,
-until a round finds no further link. There is no cap on buckets or partners.
+that turn out not to be similar to a pivot get further rounds among themselves, each with eight
+other pivots per bucket, until under 1 % of a round's pairs are links. There is no cap on buckets
+or partners.
 
 Decision. Two texts are linked if the edit distance of their term sequences is at most 20 % of
 the longer one. It is computed exactly within that band, bit-parallel over the band's width.
@@ -49,6 +50,7 @@ SHORT_SHINGLE = 2
 
 _SEEDS = np.random.default_rng(1).integers(1, 1 << 63, 2 * SKETCHES, np.uint64) | np.uint64(1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+_ORDERS = np.random.default_rng(2).integers(1, 1 << 62, 4096, np.int64).tolist()
 
 
 # --- sketches -------------------------------------------------------------------------------
@@ -212,25 +214,24 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- candidates -----------------------------------------------------------------------------
 
 
-def _candidates(buckets: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each bucket's texts with its first and last text in an order of this round.
+def _candidates(buckets: DataFrame, orders: list[int]) -> DataFrame:
+    """Pairs of each bucket's texts with the bucket's first and last text in each order.
 
-    The least and the greatest fold before the shuffle, and the join's hot buckets can be split,
-    so a bucket with a third of all texts meets no single task.
+    An order is a mask that is XORed into the text numbers. The least and the greatest fold before
+    the shuffle, and the join's hot buckets can be split, so a bucket with a third of all texts
+    meets no single task.
     """
-    order = F.col("tid").bitwiseXOR(F.lit(0x2545F4914F6CDD1D * turn % (1 << 40)).cast("long"))
-    rows = buckets.select("bucket", order.alias("o"))
-    pivots = (
-        rows.groupBy("bucket")
-        .agg(F.min("o").alias("first"), F.max("o").alias("last"))
-        .where(F.col("first") < F.col("last"))
+    masks = [F.lit(order).cast("long") for order in orders]
+    ends = [
+        end(F.col("tid").bitwiseXOR(mask)).bitwiseXOR(mask) for mask in masks for end in (F.min, F.max)
+    ]
+    pivots = buckets.groupBy("bucket").agg(F.array_distinct(F.array(*ends)).alias("pivots"))
+    pairs = (
+        buckets.join(pivots.where(F.size("pivots") > 1), "bucket")
+        .select("tid", F.explode("pivots").alias("pivot"))
+        .where("tid != pivot")
     )
-    back = F.lit(0x2545F4914F6CDD1D * turn % (1 << 40)).cast("long")
-    pairs = rows.join(pivots, "bucket").select(
-        F.col("o"), F.explode(F.array("first", "last")).alias("p")
-    ).where("o != p")
-    a, b = F.col("o").bitwiseXOR(back), F.col("p").bitwiseXOR(back)
-    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    return pairs.select(F.least("tid", "pivot").alias("a"), F.greatest("tid", "pivot").alias("b")).distinct()
 
 
 def _id_key(doc_id: str) -> Column:
@@ -275,34 +276,33 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     )
     buckets = texts.select("tid", F.explode("sketches").alias("bucket"))
     sizes = texts.select("tid", "n_terms")
-    links = None
-    tested = None
-    turn = 0
+    spark = docs.sparkSession
+    done: list[str] = []
     while True:
-        found = _candidates(buckets, turn)
+        turn = len(done)
+        orders = [0] if turn == 0 else _ORDERS[4 * turn : 4 * turn + 4]
         found = (
-            found.join(sizes.toDF("a", "size_a"), "a")
+            _candidates(buckets, orders)
+            .join(sizes.toDF("a", "size_a"), "a")
             .join(sizes.toDF("b", "size_b"), "b")
             .where(
                 F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b") - 1e-9
             )
             .select("a", "b")
         )
-        if tested is not None:
-            found = found.join(tested, ["a", "b"], "left_anti")
+        if done:
+            found = found.join(spark.read.parquet(*done).select("a", "b"), ["a", "b"], "left_anti")
         pairs = space.keep(found, f"pairs-{turn}")
         aligned = space.keep(_aligned(keyed, texts, pairs, space, turn), f"aligned-{turn}")
-        linked = aligned.where("similarity IS NOT NULL").select("a", "b")
-        tested = aligned.select("a", "b") if tested is None else tested.union(aligned.select("a", "b"))
-        fresh = not linked.isEmpty()
-        links = linked if links is None else links.union(linked)
-        failed = aligned.where("similarity IS NULL")
-        if not fresh or failed.isEmpty():
+        done.append(f"{space.path}/aligned-{turn}")
+        counts = aligned.agg(F.count("*").alias("pairs"), F.count("similarity").alias("links")).first()
+        if counts["links"] == counts["pairs"] or counts["links"] * 100 < counts["pairs"]:
             break
+        failed = aligned.where("similarity IS NULL")
         failed = failed.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
         failed = space.keep(failed, f"failed-{turn}")
         buckets = buckets.join(failed, "tid", "left_semi")
-        turn += 1
+    links = spark.read.parquet(*done).where("similarity IS NOT NULL").select("a", "b")
     stars = components(links, space)
     return (
         texts.join(stars.toDF("tid", "least"), "tid", "left")
