@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaymill.llm import chat, html_text, mixing, near_dedup, pii, quality_rules, url_rules
+from quaymill.llm import chat, decontaminate, html_text, mixing, near_dedup, pii, quality_rules, toxicity, url_rules
 from quaymill.llm.common import table
 
 
@@ -36,11 +36,24 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(rows.unionByName(forged)))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's toxicity."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), labels, keep=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page's main text."""
     return html_text.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds a benchmark item, with the item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs, items)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's counts, repeats and verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -69,7 +82,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pii": op2_pii,
         "op3_mixing": op3_mixing,
         "op4_chat": op4_chat,
+        "op5_toxicity": op5_toxicity,
         "op6_html_text": op6_html_text,
+        "op8_decontaminate": op8_decontaminate,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_rules": op10_url_rules,
     }
