@@ -4,30 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from quaymill.llm import near_dedup, quality_rules
+from quaymill.llm import decontaminate, mixing, near_dedup, pii, quality_rules
 from quaymill.llm.common import scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    del spark, sf_dir
     return quality_rules.judge_quality(docs).where("kept").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
-    del spark, sf_dir
     return near_dedup.drop_near_duplicates(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redact_pii(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row per document and epoch that it takes words of."""
+    return mixing.mixed_rows(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality),
     ("near duplicates", near_copies),
+    ("benchmark decontamination", decontamination),
+    ("personal data", personal_data),
+    ("source mixture", mixture),
 ]
 
-# Near copies and decontamination have no SQL form; tests hold the pipeline against brute force.
+# Near copies, leaks and the hash order have no SQL form; tests use brute force instead.
 ORACLE_SQL = None
 
 

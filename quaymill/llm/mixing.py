@@ -162,3 +162,26 @@ def mix(
         *[F.col(f"row.`{name}`").alias(name) for name in keep],
         *[value.alias(own_column(docs.select(*keep), name)) for name, value in values.items()],
     )
+
+
+def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: a row per document and epoch in which the mix takes words of it.
+
+    All columns of ``docs`` and ``epoch`` (from 1) and ``words``. Where the last epoch takes only
+    the first words of a document (one document of a source at most), its text is those words.
+    """
+    mixed = mix(docs, doc_id, text, source)
+    size, taken = mixed[mixed.columns[-4]], mixed[mixed.columns[-1]]
+    epoch, words = (own_column(docs, name) for name in ("epoch", "words"))
+    rows = mixed.where(taken > 0).select(
+        *docs.columns,
+        size.alias("_size"),
+        taken.alias("_taken"),
+        F.explode(F.sequence(F.lit(1), F.ceil(taken / size).cast("int"))).alias(epoch),
+    )
+    here = F.least(F.col("_size"), F.col("_taken") - (F.col(epoch) - 1) * F.col("_size"))
+    rows = rows.withColumn(words, here)
+    pieces = F.split(F.ltrim(F.translate(text, "\t\n\u000b\u000c\r", "     ")), " +")
+    cut = F.array_join(F.slice(pieces, 1, F.col(words).cast("int")), " ")
+    rows = rows.withColumn(text, F.when(F.col(words) < F.col("_size"), cut).otherwise(F.col(text)))
+    return rows.select(*docs.columns, epoch, words)

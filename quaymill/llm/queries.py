@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaymill.llm import chat, decontaminate, html_text, mixing, near_dedup, pii, quality_rules, toxicity, url_rules
+from quaymill.llm import chat, decontaminate, html_text, mixing, near_dedup, pii, quality_net, quality_rules, toxicity, url_rules
 from quaymill.llm.common import table
 
 
@@ -48,6 +48,13 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op7_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's quality."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_net.score_quality(docs.select("doc_id", "text"), labels, keep=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that holds a benchmark item, with the item."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -84,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chat": op4_chat,
         "op5_toxicity": op5_toxicity,
         "op6_html_text": op6_html_text,
+        "op7_quality_net": op7_quality_net,
         "op8_decontaminate": op8_decontaminate,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_rules": op10_url_rules,
