@@ -274,10 +274,11 @@ def pii_digest(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
     found = find_pii(docs, text, "pii")
     pii = own_column(docs, "pii")
     base = F.filter(pii, lambda span: span["kind_no"] < len(BASE))
-    counts = [
-        F.size(F.filter(pii, lambda span, n=number: span["kind_no"] == n)).cast("long").alias(f"n_{kind}")
-        for number, kind in enumerate(BASE)
-    ]
+
+    def count(number: int) -> Column:
+        return F.size(F.filter(pii, lambda span: span["kind_no"] == number)).cast("long")
+
+    counts = [count(number).alias(f"n_{kind}") for number, kind in enumerate(BASE)]
     return found.select(
         *keep,
         *counts,
