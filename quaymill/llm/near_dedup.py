@@ -7,10 +7,10 @@ share it with a probability that falls with their edit distance. Texts of up to
 also sketched on pairs of terms, of which an edit breaks fewer.
 
 Candidates. Texts with a sketch in common form a bucket. Each text of a bucket is paired with the
-bucket's first and last text only, so a bucket of any size gives two pairs per text. Texts
-that turn out not to be similar to a pivot get further rounds among themselves, each with eight
-other pivots per bucket, until under 1 % of a round's pairs are links. There is no cap on buckets
-or partners.
+bucket's first and last text only, so a bucket of any size gives two pairs per text. One pair per
+text is tested first; of the others only those whose texts are still in different classes. Texts
+that turn out not to be similar to a pivot get further rounds among themselves, each with four other
+pivots per bucket, until under 1 % of a round's pairs are links. There is no cap on buckets or partners.
 
 Decision. Two texts are linked if the edit distance of their term sequences is at most 20 % of
 the longer one. It is computed exactly within that band, bit-parallel over the band's width.
@@ -278,9 +278,29 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     sizes = texts.select("tid", "n_terms")
     spark = docs.sparkSession
     done: list[str] = []
+    stars = None
+
+    def test(pairs: DataFrame) -> tuple[int, int]:
+        """Align pairs that are in different classes so far; how many there were, and links."""
+        nonlocal stars
+        name = f"{len(done)}"
+        if stars is not None:
+            # Pairs within a class cannot change it; tested ones that are not linked stay so.
+            ends = [stars.toDF(end, f"class_{end}") for end in ("a", "b")]
+            pairs = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+            apart = F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
+            pairs = pairs.where(apart).select("a", "b")
+            pairs = pairs.join(spark.read.parquet(*done).select("a", "b"), ["a", "b"], "left_anti")
+        pairs = space.keep(pairs, f"pairs-{name}")
+        aligned = space.keep(_aligned(keyed, texts, pairs, space, name), f"aligned-{name}")
+        done.append(f"{space.path}/aligned-{name}")
+        links = spark.read.parquet(*done).where("similarity IS NOT NULL").select("a", "b")
+        stars = components(links, space, f"stars-{name}")
+        return tuple(aligned.agg(F.count("*"), F.count("similarity")).first())
+
+    turn = 0
     while True:
-        turn = len(done)
-        orders = [0] if turn == 0 else _ORDERS[4 * turn : 4 * turn + 4]
+        orders = [0] if turn == 0 else _ORDERS[2 * turn : 2 * turn + 2]
         found = (
             _candidates(buckets, orders)
             .join(sizes.toDF("a", "size_a"), "a")
@@ -290,20 +310,18 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
             )
             .select("a", "b")
         )
-        if done:
-            found = found.join(spark.read.parquet(*done).select("a", "b"), ["a", "b"], "left_anti")
-        pairs = space.keep(found, f"pairs-{turn}")
-        aligned = space.keep(_aligned(keyed, texts, pairs, space, turn), f"aligned-{turn}")
-        done.append(f"{space.path}/aligned-{turn}")
-        counts = aligned.agg(F.count("*").alias("pairs"), F.count("similarity").alias("links")).first()
-        if counts["links"] == counts["pairs"] or counts["links"] * 100 < counts["pairs"]:
+        found = space.keep(found, f"found-{turn}")
+        # One pair of each text settles most classes; of the rest only pairs across classes count.
+        pairs, links = test(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        more_pairs, more_links = test(found)
+        pairs, links = pairs + more_pairs, links + more_links
+        if links == pairs or links * 100 < pairs:
             break
-        failed = aligned.where("similarity IS NULL")
+        failed = spark.read.parquet(*done[-2:]).where("similarity IS NULL")
         failed = failed.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
         failed = space.keep(failed, f"failed-{turn}")
         buckets = buckets.join(failed, "tid", "left_semi")
-    links = spark.read.parquet(*done).where("similarity IS NOT NULL").select("a", "b")
-    stars = components(links, space)
+        turn += 1
     return (
         texts.join(stars.toDF("tid", "least"), "tid", "left")
         .select("text_key", "doc_id", "id_key", F.coalesce("least", "tid").alias("class_key"))
@@ -311,7 +329,7 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
 
 
 def _aligned(
-    keyed: DataFrame, texts: DataFrame, pairs: DataFrame, space: Scratch, turn: int
+    keyed: DataFrame, texts: DataFrame, pairs: DataFrame, space: Scratch, name: str
 ) -> DataFrame:
     """The pairs with their similarity, null where it is below the threshold."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
@@ -319,7 +337,7 @@ def _aligned(
     # A text is taken from its first document; copies of that row are equal, so any one serves.
     read = keyed.select("text_key", "id_key", "text").join(needed, ["text_key", "id_key"])
     read = read.dropDuplicates(["text_key", "id_key"]).select("tid", "text")
-    read = space.keep(read, f"read-{turn}")
+    read = space.keep(read, f"read-{name}")
     both = pairs.join(read.toDF("a", "text_a"), "a").join(read.toDF("b", "text_b"), "b")
     return both.mapInArrow(_align, "a long, b long, similarity double")
 
