@@ -41,11 +41,12 @@ class Floating:
 class Exact:
     """Whole-unit BIGINT sums, divided once at the end, so that every run gives the same bits.
 
-    For values that are whole in the measure's smallest unit, such as cents.
+    For values that are whole in the measure's smallest unit, such as cents. A value that no
+    BIGINT holds (NaN, infinity, too large) raises: left out, it would falsify sums and means.
     """
 
     def lift(self, measure: Measure) -> Column:
-        return F.round(F.col(measure.column) * F.lit(float(measure.units))).try_cast("bigint")
+        return F.round(F.col(measure.column) * F.lit(float(measure.units))).cast("bigint")
 
     def total(self, sums: Column, measure: Measure) -> Column:
         return sums / F.lit(float(measure.units))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 def merge_spellings(frame: DataFrame, name: str, dtype: str) -> DataFrame:
@@ -37,13 +37,10 @@ def retype(frame: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def fit_schema(frame: DataFrame, schema: StructType, skip: tuple[str, ...] = ()) -> DataFrame:
     """Exactly the fields of ``schema``, in its order: missing ones null, unknown ones dropped."""
-    columns = []
-    for field in schema.fields:
-        if field.name in skip:
-            continue
-        source = F.col(field.name) if field.name in frame.columns else F.lit(None)
-        columns.append(source.try_cast(field.dataType).alias(field.name))
-    return frame.select(*columns)
+    wanted = StructType([field for field in schema.fields if field.name not in skip])
+    shared = [field for field in wanted.fields if field.name in frame.columns]
+    cast = frame.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in shared])
+    return cast.to(StructType([StructField(f.name, f.dataType) for f in wanted.fields]))
 
 
 def ensure_column(frame: DataFrame, name: str, dtype: str | DataType) -> DataFrame:

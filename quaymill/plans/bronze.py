@@ -23,11 +23,15 @@ def _new_batch_id() -> str:
     return str(uuid.uuid4())
 
 
-def _land(lake: Lake, rows: DataFrame, source_system: str, **audit: str) -> None:
+def _land(
+    lake: Lake, rows: DataFrame, source_system: str, rebalance: bool = True, **audit: str
+) -> None:
+    """Land new months; rows of the time before source_system existed are marked first."""
+    backfill_source_system(lake)
     stamped = stamp(
         rows, {"batch_id": _new_batch_id(), "source_system": source_system, **audit}
     )
-    lake.append_new(TRIPS, stamped, trips.BATCH)
+    lake.append_new(TRIPS, stamped, trips.BATCH, rebalance)
 
 
 def _fit_to_bronze(lake: Lake, rows: DataFrame) -> DataFrame:
@@ -53,7 +57,7 @@ def ingest_files(lake: Lake, paths: Mapping[str, str]) -> list[str]:
     missing = {month: path for month, path in paths.items() if month not in present}
     if missing:
         rows = read_batches(lake.spark, missing, trips.BATCH, trips.align)
-        _land(lake, rows, "parquet")
+        _land(lake, rows, "parquet", rebalance=False)
     return sorted(missing)
 
 

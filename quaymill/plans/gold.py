@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from quaymill import trips
 from quaymill.functions.measures import Arithmetic, Floating
@@ -41,13 +41,13 @@ def build_gold(
     if not present and months is None:
         return {}
     if months is not None:
-        months = sorted(set(months))
-        unknown = set(months) - set(present)
+        months = set(months)
+        unknown = months - set(present)
         if unknown:
-            raise ValueError(f"silver has no rows for {sorted(unknown)}")
+            raise ValueError(f"silver has no rows for {sorted(map(str, unknown))}")
     silver = lake.read(SILVER_TRIPS, partition_by=trips.BATCH)
     if months is not None:
-        silver = silver.where(F.col(trips.BATCH).isin(months))
+        silver = silver.where(_in_months(months))
 
     marts = trips.TripMarts(arithmetic)
     with Scratch(lake.spark, "gold") as scratch:
@@ -61,13 +61,20 @@ def build_gold(
 
     daily = lake.read(DAILY)
     if months is not None:
-        daily = daily.where(F.col(trips.BATCH).isin(months))
+        daily = daily.where(_in_months(months))
     counts = compare_counts(silver, daily).first()
     if counts["silver_rows"] != counts["gold_trips"]:
         raise CountMismatch(f"daily trips do not match silver: {counts.asDict()}")
     return written
 
 
+def _in_months(months: set[str | None]) -> Column:
+    """Rows of the given months; None stands for rows without a month."""
+    month = F.col(trips.BATCH)
+    known = month.isin(sorted(value for value in months if value is not None))
+    return known | month.isNull() if None in months else known
+
+
 def mart_rows(lake: Lake) -> DataFrame:
     """Rows of each gold table."""
     counts = None

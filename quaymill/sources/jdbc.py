@@ -69,6 +69,11 @@ def read_jdbc(
     return spark.read.jdbc(source.url, dbtable, predicates=predicates, properties=connection)
 
 
+# Undefined table in PostgreSQL, the SQL standard's and ODBC's base table not found,
+# and Derby's.
+NO_SUCH_TABLE = frozenset({"42P01", "42S02", "42X05"})
+
+
 def count_query(table: str) -> str:
     return f"(SELECT COUNT(*) AS row_count FROM {table}) AS counts"
 
@@ -81,13 +86,37 @@ def jdbc_row_count(spark: SparkSession, source: JdbcSource, table: str) -> DataF
 
 
 def jdbc_has_rows(spark: SparkSession, source: JdbcSource, table: str) -> bool:
-    """False when the table is empty or absent; any other failure is raised."""
+    """False when the table is empty or absent; any other failure is raised.
+
+    Absence is told by the database's SQLSTATE, never by the wording of a message.
+    """
     try:
-        return jdbc_row_count(spark, source, table).first()["row_count"] > 0
+        counted = jdbc_row_count(spark, source, table).first()
     except Exception as error:
-        if "does not exist" in str(error).lower():
+        if not NO_SUCH_TABLE.isdisjoint(sql_states(error)):
             return False
         raise
+    return counted["row_count"] > 0
+
+
+def sql_states(error: BaseException) -> set[str]:
+    """The SQLSTATEs along the chain of Java causes of an error."""
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    states = set()
+    while cause is not None:
+        cause = getattr(cause, "java_exception", cause)
+        if "SQLException" in {kind.getSimpleName() for kind in _java_classes(cause)}:
+            states.add(cause.getSQLState())
+        cause = cause.getCause()
+    return states
+
+
+def _java_classes(value) -> list:
+    kinds, kind = [], value.getClass()
+    while kind is not None:
+        kinds.append(kind)
+        kind = kind.getSuperclass()
+    return kinds
 
 
 def write_jdbc(frame: DataFrame, source: JdbcSource, table: str, mode: str = "overwrite") -> None:

@@ -119,33 +119,40 @@ class Lake:
             live = partition_dirs(self.spark, target, partition_by)
             new = partition_dirs(self.spark, staged.path, partition_by)
 
-        if not live:
-            self._swap(staged.path, target, aside)
-        else:
-            for name in new.values():
-                self._swap(f"{staged.path}/{name}", f"{target}/{name}", f"{aside}/{name}")
-            for value in (set(replaced) - set(new)) & set(live):
-                move_path(self.spark, f"{target}/{live[value]}", f"{aside}/{live[value]}")
+        moves: list[tuple[str, str]] = []
+        try:
+            if not live:
+                self._swap(staged.path, target, aside, moves)
+            else:
+                for name in new.values():
+                    places = (f"{staged.path}/{name}", f"{target}/{name}", f"{aside}/{name}")
+                    self._swap(*places, moves)
+                for value in (set(replaced) - set(new)) & set(live):
+                    self._move(f"{target}/{live[value]}", f"{aside}/{live[value]}", moves)
+        except BaseException:
+            # All partitions or none: undo what was moved, the last move first.
+            for source, moved in reversed(moves):
+                move_path(self.spark, moved, source)
+            raise
         self.discard(staged)
         remove_path(self.spark, aside)
         self.spark.catalog.refreshByPath(target)
 
-    def _swap(self, new: str, target: str, aside: str) -> None:
-        """Put ``new`` at ``target``; what was there goes ``aside``, or back if the move fails."""
-        occupied = path_exists(self.spark, target)
-        if occupied:
-            move_path(self.spark, target, aside)
-        try:
-            move_path(self.spark, new, target)
-        except BaseException:
-            if occupied:
-                move_path(self.spark, aside, target)
-            raise
+    def _move(self, source: str, target: str, moves: list[tuple[str, str]]) -> None:
+        move_path(self.spark, source, target)
+        moves.append((source, target))
+
+    def _swap(self, new: str, target: str, aside: str, moves: list[tuple[str, str]]) -> None:
+        """Put ``new`` at ``target``; what was there goes ``aside``."""
+        if path_exists(self.spark, target):
+            self._move(target, aside, moves)
+        self._move(new, target, moves)
 
     def publish_recorded(
         self, table: str, staged: Staged, partition_by: str, batches: Iterable[str | None]
     ) -> None:
         """``publish`` as one replacement of the given batches in the table's history."""
+        self._require_same_types(table, staged.rows, partition_by)
         self.publish(table, staged, partition_by, batches)
         self._record(table, "REPLACE")
 
@@ -176,12 +183,20 @@ class Lake:
                     f"not {field.dataType.simpleString()}"
                 )
 
-    def append_new(self, table: str, frame: DataFrame, partition_by: str) -> None:
-        """Add only batches the table does not have; each becomes visible whole or not at all."""
+    def append_new(
+        self, table: str, frame: DataFrame, partition_by: str, rebalance: bool = True
+    ) -> None:
+        """Add only batches the table does not have; each becomes visible whole or not at all.
+
+        Rows are rebalanced by batch, so that many tasks do not each write a file of every batch;
+        a frame that comes one scan per batch needs no such shuffle.
+        """
         present = self.batches(table, partition_by)
         self._require_same_types(table, frame, partition_by)
         if present:
             frame = frame.where(~F.coalesce(_one_of(partition_by, present), F.lit(False)))
+        if rebalance:
+            frame = frame.hint("rebalance", partition_by)
         staged = self.stage(table, frame, partition_by)
         added = staged.rows.count()
         self.publish(table, staged, partition_by)
@@ -198,6 +213,7 @@ class Lake:
     ) -> None:
         """Make the named batches hold exactly the frame's rows for them; others stay untouched."""
         batches = list(batches)
+        self._require_same_types(table, frame, partition_by)
         chosen = frame.where(_one_of(partition_by, batches))
         staged = self.stage(table, chosen.hint("rebalance", partition_by), partition_by)
         self.publish_recorded(table, staged, partition_by, batches)
@@ -222,6 +238,7 @@ class Lake:
             return False
         filled = F.coalesce(F.col(column), F.lit(value).cast(dtype))
         chosen = current.where(_one_of(partition_by, affected)).withColumn(column, filled)
+        self._require_same_types(table, chosen, partition_by)
         staged = self.stage(table, chosen, partition_by)
         self.publish(table, staged, partition_by, affected)
         self._record(table, "UPDATE", updated=sum(affected.values()))
@@ -248,15 +265,19 @@ class Lake:
         if any(row["n"] > 1 for row in arriving.values()):
             raise ValueError(f"upsert into {table}: source keys {keys} are not unique")
 
+        if partition_by:
+            self._require_same_types(table, source, partition_by)
         updated, merged, touched = 0, source, set(arriving)
         if self._holds_files(table, partition_by):
             target = self.read(table, partition_by=partition_by)
             source_keys = source.select(*keys).alias("s")
             located = target.withColumn("_batch", group).select(*keys, "_batch").alias("t")
             hits = located.join(source_keys, _null_safe(keys), "left_semi")
-            matched = _rows_per(hits, "_batch")
-            updated = sum(matched.values())
-            touched |= set(matched)
+            # A key may stand in several target rows; it is one updated row of the source.
+            per_key = hits.groupBy(*keys).agg(F.collect_set(F.struct("_batch")).alias("batches"))
+            matched = per_key.select(F.explode("batches._batch").alias("_batch"), F.lit(1))
+            touched |= set(_rows_per(matched, "_batch"))
+            updated = per_key.count()
             if partition_by:
                 target = target.where(_one_of(partition_by, touched))
             kept = target.alias("t").join(source_keys, _null_safe(keys), "left_anti")

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quaymill.functions.measures import Exact, Measure, additive
+from quaymill.sources.files import data_files
 from quaymill.sources.lake import Lake
 from quaymill.sources import lake as lake_module
 from quaymill.sources.paths import partition_dirs
@@ -207,3 +209,52 @@ def test_needs_a_shared_folder(spark):
 
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert isinstance(Lake(spark, "/x/").path("t"), str)
+
+
+def test_replacing_with_another_type_is_refused_and_leaves_the_table(spark, lake):
+    lake.append_new("typed", spark.createDataFrame([("2024-01", 7)], "month string, v int"), "month")
+    text = spark.createDataFrame([("2024-01", "seven")], "month string, v string")
+    with pytest.raises(TypeError):
+        lake.replace_batches("typed", text, "month", ["2024-01"])
+    with pytest.raises(TypeError):
+        lake.upsert("typed", text, ["month"], partition_by="month")
+    assert lake.read("typed", partition_by="month").collect()[0]["v"] == 7
+
+
+def test_a_failed_replacement_of_three_months_is_undone_whole(spark, lake, monkeypatch):
+    months = ["2024-01", "2024-02", "2024-03"]
+    schema = "month string, v int"
+    lake.append_new("three", spark.createDataFrame([(m, 1) for m in months], schema), "month")
+    calls = []
+    plain = lake_module.move_path
+
+    def failing(session, source, target):
+        calls.append(target)
+        if len(calls) == 4:
+            raise OSError("no space")
+        plain(session, source, target)
+
+    monkeypatch.setattr(lake_module, "move_path", failing)
+    with pytest.raises(OSError):
+        lake.replace_batches("three", spark.createDataFrame([(m, 2) for m in months], schema), "month", months)
+    monkeypatch.undo()
+    spark.catalog.refreshByPath(lake.path("three"))
+    rows = lake.read("three", partition_by="month").collect()
+    assert sorted((row["month"], row["v"]) for row in rows) == [(m, 1) for m in months]
+
+
+def test_upsert_counts_source_keys_and_appends_few_files(spark, lake):
+    old = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3)], "k string, v int")
+    lake.overwrite("copies", old)
+    counts = lake.upsert("copies", spark.createDataFrame([("a", 9), ("b", 9)], "k string, v int"), ["k"])
+    assert (counts["rows_inserted"], counts["rows_updated"]) == (1, 1)
+    rows = spark.range(400).selectExpr("concat('2024-0', id % 4 + 1) AS month", "id").repartition(16)
+    lake.append_new("files", rows, "month")
+    assert data_files(spark, lake.path("files")).count() <= 8
+
+
+def test_exact_sums_refuse_what_they_cannot_hold(spark):
+    rows = spark.createDataFrame([("k", 10.0), ("k", float("nan"))], "k string, v double")
+    measure = Measure("v", "v", 100)
+    with pytest.raises(Exception, match="CAST"):
+        additive(rows, ["k"], [measure], Exact()).collect()
