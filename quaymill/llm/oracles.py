@@ -1,7 +1,52 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+Near copies, mixing (its order is by Spark's hash), learned scores, page text and leaks have none;
+tests hold them against brute force or held-out labels.
+"""
 
 from __future__ import annotations
 
+_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), placed AS (
+  SELECT *,
+    6 + 6 + 7 + length(replace(replace(replace(replace(role, '\', '\\'), '<turn>', '<\turn>'), '<says>', '<\says>'), '</turn>', '<\/turn>'))
+      + length(replace(replace(replace(replace(text, '\', '\\'), '<turn>', '<\turn>'), '<says>', '<\says>'), '</turn>', '<\/turn>')) AS size,
+    row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text)
+), summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY place) AS chars FROM placed
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) FILTER (role = 'assistant' OR place = n) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id
+"""
+
+_URLS = r"""
+WITH parts AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages
+), rules(rule_host, rule_path, says) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), best AS (
+  SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(says, length(rule_host || rule_path)) AS says
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat": _CHAT, "op10_url_rules": _URLS}
