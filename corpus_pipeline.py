@@ -12,7 +12,8 @@ from quaymill.llm.common import scratch, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules.judge_quality(docs).where("kept").select(*docs.columns)
+    judged = quality_rules.judge_quality(docs)
+    return judged.where(judged[judged.columns[-1]]).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,16 +172,17 @@ def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
     """
     mixed = mix(docs, doc_id, text, source)
     size, taken = mixed[mixed.columns[-4]], mixed[mixed.columns[-1]]
-    epoch, words = (own_column(docs, name) for name in ("epoch", "words"))
+    names = ("epoch", "words", "whole_words", "total_words")
+    epoch, words, whole, total = (own_column(docs, name) for name in names)
     rows = mixed.where(taken > 0).select(
         *docs.columns,
-        size.alias("_size"),
-        taken.alias("_taken"),
+        size.alias(whole),
+        taken.alias(total),
         F.explode(F.sequence(F.lit(1), F.ceil(taken / size).cast("int"))).alias(epoch),
     )
-    here = F.least(F.col("_size"), F.col("_taken") - (F.col(epoch) - 1) * F.col("_size"))
+    here = F.least(F.col(whole), F.col(total) - (F.col(epoch) - 1) * F.col(whole))
     rows = rows.withColumn(words, here)
     pieces = F.split(F.ltrim(F.translate(text, "\t\n\u000b\u000c\r", "     ")), " +")
     cut = F.array_join(F.slice(pieces, 1, F.col(words).cast("int")), " ")
-    rows = rows.withColumn(text, F.when(F.col(words) < F.col("_size"), cut).otherwise(F.col(text)))
+    rows = rows.withColumn(text, F.when(F.col(words) < F.col(whole), cut).otherwise(F.col(text)))
     return rows.select(*docs.columns, epoch, words)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from quaymill.llm.common import (
     NOT_SPACE,
     append_columns,
-    mixed,
+    own_column,
     per_text,
     raw_bytes,
     run_hashes,
@@ -154,19 +154,27 @@ def measure(texts: pa.Array) -> dict[str, object]:
 
 
 def judge_quality(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Append the counts, ``base_failed`` and ``kept``.
+    """Append the counts, ``base_failed`` and, last, ``kept``; names that are taken get a trailing
+    underscore.
 
     The base fails texts under MIN_WORDS words or with over MAX_REPEAT_PERCENT % of their words in
     repeated windows of WINDOW words. The method also rejects texts of which repeats of
     MIN_REPEAT words and more cover over MAX_COVERED_PERCENT %, or whose longest repeat has over
     MAX_LONGEST words.
     """
-    counted = append_columns(docs, text, FIELDS, measure, keep)
-    n_words, repeated = F.col("n_words"), F.col("n_repeat_words")
+    kept_names = docs.select(*(docs.columns if keep is None else keep))
+    name = {n: own_column(kept_names, n) for n in (*COUNTS, *METHOD, "base_failed", "kept")}
+    fields = [T.StructField(name[field.name], field.dataType) for field in FIELDS]
+
+    def found(texts: pa.Array) -> dict[str, object]:
+        return {name[key]: values for key, values in measure(texts).items()}
+
+    counted = append_columns(docs, text, fields, found, keep)
+    n_words, repeated = F.col(name["n_words"]), F.col(name["n_repeat_words"])
     failed = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n_words)
     kept = (
         ~failed
-        & (100 * F.col("covered_words") <= MAX_COVERED_PERCENT * n_words)
-        & (F.col("longest_repeat") <= MAX_LONGEST)
+        & (100 * F.col(name["covered_words"]) <= MAX_COVERED_PERCENT * n_words)
+        & (F.col(name["longest_repeat"]) <= MAX_LONGEST)
     )
-    return counted.withColumns({"base_failed": failed, "kept": kept})
+    return counted.withColumns({name["base_failed"]: failed, name["kept"]: kept})
