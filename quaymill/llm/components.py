@@ -21,11 +21,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    ).first()
-    return tuple(row)
+def _settled(edges: DataFrame) -> bool:
+    """Whether every upper node has one edge and is no other node's lower end. Needs u > v."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.max("down").alias("downs"))
+    return nodes.agg(F.count_if(F.expr("ups > 1 OR ups > 0 AND downs > 0"))).first()[0] == 0
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataFrame:
@@ -34,7 +36,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataF
     ``edges`` has two columns of one comparable type; loops, nulls and repeats are dropped. Counts
     per node fold before each shuffle, so a node with very many edges meets no single task; joins
     on it are split by adaptive execution. Each round is written to the shared folder. The number
-    of rounds grows with the logarithm of the longest chain; only two numbers reach the driver.
+    of rounds grows with the logarithm of the longest chain; after each, one number reaches the driver.
     """
     a, b = (F.col(column) for column in edges.columns[:2])
     edges = (
@@ -44,13 +46,9 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataF
         .distinct()
     )
     edges = scratch.keep(edges, f"{name}-0")
-    before, rounds = _state(edges), 0
-    while before[0]:
+    rounds = 0
+    while not _settled(edges):
         rounds += 1
         edges = _small_star(_large_star(edges)).distinct()
         edges = scratch.keep(edges, f"{name}-{rounds}")
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
     return edges

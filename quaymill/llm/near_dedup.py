@@ -7,8 +7,8 @@ share it with a probability that falls with their edit distance. Texts of up to
 also sketched on pairs of terms, of which an edit breaks fewer.
 
 Candidates. Texts with a sketch in common form a bucket. Each text of a bucket is paired with the
-bucket's first and last text only, so a bucket of any size gives two pairs per text. One pair per
-text is tested first; of the others only those whose texts are still in different classes. Texts
+bucket's first and last text only, so a bucket of any size gives two pairs per text. At first one
+pair per text is tested; of the others only those whose texts are still in different classes. Texts
 that turn out not to be similar to a pivot get further rounds among themselves, each with four other
 pivots per bucket, until under 1 % of a round's pairs are links. There is no cap on buckets or partners.
 
@@ -294,8 +294,9 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
         pairs = space.keep(pairs, f"pairs-{name}")
         aligned = space.keep(_aligned(keyed, texts, pairs, space, name), f"aligned-{name}")
         done.append(f"{space.path}/aligned-{name}")
-        links = spark.read.parquet(*done).where("similarity IS NOT NULL").select("a", "b")
-        stars = components(links, space, f"stars-{name}")
+        links = aligned.where("similarity IS NOT NULL").select("a", "b")
+        # A class so far is a star; with the new links it gives what all links would.
+        stars = components(links if stars is None else links.union(stars), space, f"stars-{name}")
         return tuple(aligned.agg(F.count("*"), F.count("similarity")).first())
 
     turn = 0
@@ -311,13 +312,18 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
             .select("a", "b")
         )
         found = space.keep(found, f"found-{turn}")
-        # One pair of each text settles most classes; of the rest only pairs across classes count.
-        pairs, links = test(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        more_pairs, more_links = test(found)
-        pairs, links = pairs + more_pairs, links + more_links
+        pairs = links = 0
+        tests = [found]
+        if turn == 0:
+            # One pair of each text settles most classes; of the rest only pairs across classes count.
+            tests.insert(0, found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        turn_start = len(done)
+        for chosen in tests:
+            more_pairs, more_links = test(chosen)
+            pairs, links = pairs + more_pairs, links + more_links
         if links == pairs or links * 100 < pairs:
             break
-        failed = spark.read.parquet(*done[-2:]).where("similarity IS NULL")
+        failed = spark.read.parquet(*done[turn_start:]).where("similarity IS NULL")
         failed = failed.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
         failed = space.keep(failed, f"failed-{turn}")
         buckets = buckets.join(failed, "tid", "left_semi")
