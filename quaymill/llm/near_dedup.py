@@ -367,6 +367,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .groupBy("class_key")
         .agg(F.min("doc_id").alias("class_id"), F.sum("rows").alias("class_size"))
     )
+    # Written, the sums no longer share a stage with the join, which can then split a hot class.
+    totals = space.keep(totals, "totals")
     totals = classes.join(totals, "class_key").select("text_key", "class_id", "class_size")
     return keyed.join(totals, "text_key").select("doc_id", "class_id", "class_size")
 
