@@ -33,9 +33,9 @@ def _settled(edges: DataFrame) -> bool:
 def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataFrame:
     """Rows (u, v): each node that is not the least of its component, with that least node.
 
-    ``edges`` has two columns of one comparable type; loops, nulls and repeats are dropped. Counts
-    per node fold before each shuffle, so a node with very many edges meets no single task; joins
-    on it are split by adaptive execution. Each round is written to the shared folder. The number
+    ``edges`` has two columns of one comparable type; loops, nulls and repeats are dropped. Minima
+    per node fold before each shuffle. In the joins the edges of one node, pairs of numbers, meet in
+    one task, as the aggregate shares the join's stage. Each round is written to the shared folder. The number
     of rounds grows with the logarithm of the longest chain; after each, one number reaches the driver.
     """
     a, b = (F.col(column) for column in edges.columns[:2])

@@ -218,8 +218,8 @@ def _candidates(buckets: DataFrame, orders: list[int]) -> DataFrame:
     """Pairs of each bucket's texts with the bucket's first and last text in each order.
 
     An order is a mask that is XORed into the text numbers. The least and the greatest fold before
-    the shuffle, and the join's hot buckets can be split, so a bucket with a third of all texts
-    meets no single task.
+    the shuffle. The join's rows are pairs of numbers, but those of one bucket meet in one task, as
+    the aggregate shares the join's stage.
     """
     masks = [F.lit(order).cast("long") for order in orders]
     ends = [
