@@ -214,20 +214,21 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- candidates -----------------------------------------------------------------------------
 
 
-def _candidates(buckets: DataFrame, orders: list[int]) -> DataFrame:
+def _candidates(buckets: DataFrame, orders: list[int], space: Scratch, name: str) -> DataFrame:
     """Pairs of each bucket's texts with the bucket's first and last text in each order.
 
     An order is a mask that is XORed into the text numbers. The least and the greatest fold before
-    the shuffle. The join's rows are pairs of numbers, but those of one bucket meet in one task, as
-    the aggregate shares the join's stage.
+    the shuffle. They are written, so that they share no stage with the join and adaptive execution
+    can split it where a bucket holds very many texts.
     """
     masks = [F.lit(order).cast("long") for order in orders]
     ends = [
         end(F.col("tid").bitwiseXOR(mask)).bitwiseXOR(mask) for mask in masks for end in (F.min, F.max)
     ]
     pivots = buckets.groupBy("bucket").agg(F.array_distinct(F.array(*ends)).alias("pivots"))
+    pivots = space.keep(pivots.where(F.size("pivots") > 1), name)
     pairs = (
-        buckets.join(pivots.where(F.size("pivots") > 1), "bucket")
+        buckets.join(pivots, "bucket")
         .select("tid", F.explode("pivots").alias("pivot"))
         .where("tid != pivot")
     )
@@ -303,7 +304,7 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     while True:
         orders = [0] if turn == 0 else _ORDERS[2 * turn : 2 * turn + 2]
         found = (
-            _candidates(buckets, orders)
+            _candidates(buckets, orders, space, f"pivots-{turn}")
             .join(sizes.toDF("a", "size_a"), "a")
             .join(sizes.toDF("b", "size_b"), "b")
             .where(
