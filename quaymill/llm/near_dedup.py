@@ -6,11 +6,12 @@ labelled runs with the smallest hashes; these runs in text order are the sketch,
 share it with a probability that falls with their edit distance. Texts of up to SHORT terms are
 also sketched on pairs of terms, of which an edit breaks fewer.
 
-Candidates. Texts with a sketch in common form a bucket. Each text of a bucket is paired with the
-bucket's first and last text only, so a bucket of any size gives two pairs per text. At first one
-pair per text is tested; of the others only those whose texts are still in different classes. Texts
-that turn out not to be similar to a pivot get further rounds among themselves, each with four other
-pivots per bucket, until under 1 % of a round's pairs are links. There is no cap on buckets or partners.
+Candidates. Texts with a sketch in common form a bucket. First each text of a bucket is paired with
+the bucket's first and last text only; one pair per text is tested, then those whose texts are
+still in different classes. Then every bucket is settled: of all its pairs, those in different
+classes whose lengths and bags of terms allow a link are tested, first one per text. The bag test
+loses nothing, as no alignment matches more terms than two bags share; it reads BAG counts per
+text, in blocks of BLOCK texts. There is no cap on buckets, partners or rounds.
 
 Decision. Two texts are linked if the edit distance of their term sequences is at most 20 % of
 the longer one. It is computed exactly within that band, bit-parallel over the band's width.
@@ -48,9 +49,12 @@ LEAST = 2
 SHORT = 60
 SHORT_SHINGLE = 2
 
+# Terms are counted by hash in BAG bytes per text; what exceeds a byte is carried along.
+BAG = 256
+BLOCK = 512
+
 _SEEDS = np.random.default_rng(1).integers(1, 1 << 63, 2 * SKETCHES, np.uint64) | np.uint64(1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-_ORDERS = np.random.default_rng(2).integers(1, 1 << 62, 4096, np.int64).tolist()
 
 
 # --- sketches -------------------------------------------------------------------------------
@@ -106,8 +110,17 @@ def _sketch_family(
     return out
 
 
+def _bags(terms: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """BAG counts of each text's terms, at most 255 each, and the sum of what exceeds that."""
+    texts = len(at) - 1
+    text = np.repeat(np.arange(texts), np.diff(at))
+    place = (terms >> np.uint64(64 - BAG.bit_length() + 1)).astype(np.int64)
+    counts = np.bincount(text * BAG + place, minlength=texts * BAG).reshape(texts, BAG)
+    return np.minimum(counts, 255).astype(np.uint8), np.maximum(counts - 255, 0).sum(axis=1)
+
+
 def order_minhash(texts: pa.Array) -> dict[str, object]:
-    """The number of terms and the sketch hashes of each text; an empty text has none."""
+    """The number of terms, the bag and the sketch hashes of each text; an empty text has no sketch."""
     terms, at = term_hashes(texts)
     lengths = np.diff(at)
     sketches: list[list[int]] = [[] for _ in range(len(texts))]
@@ -121,8 +134,11 @@ def order_minhash(texts: pa.Array) -> dict[str, object]:
             rows = _sketch_family(terms, at, chosen, size, seeds).view(np.int64).tolist()
             for text, row in zip(chosen.tolist(), rows):
                 sketches[text] = sketches[text] + row
+    bags, over = _bags(terms, at)
     return {
         "n_terms": pa.array(lengths, pa.int64()),
+        "bag": pa.array([bag.tobytes() for bag in bags], pa.binary()),
+        "over": pa.array(over, pa.int64()),
         "sketches": pa.array(sketches, pa.list_(pa.int64())),
     }
 
@@ -214,25 +230,117 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- candidates -----------------------------------------------------------------------------
 
 
-def _candidates(buckets: DataFrame, orders: list[int], space: Scratch, name: str) -> DataFrame:
-    """Pairs of each bucket's texts with the bucket's first and last text in each order.
+def _shared(buckets: DataFrame, space: Scratch) -> DataFrame:
+    """Rows (bucket, tid, pivots) of the buckets with several texts; pivots are the first and last.
 
-    An order is a mask that is XORed into the text numbers. The least and the greatest fold before
-    the shuffle. They are written, so that they share no stage with the join and adaptive execution
-    can split it where a bucket holds very many texts.
+    The least and the greatest fold before the shuffle. They are written, so that they share no
+    stage with the join and adaptive execution can split it where a bucket holds very many texts.
     """
-    masks = [F.lit(order).cast("long") for order in orders]
-    ends = [
-        end(F.col("tid").bitwiseXOR(mask)).bitwiseXOR(mask) for mask in masks for end in (F.min, F.max)
-    ]
-    pivots = buckets.groupBy("bucket").agg(F.array_distinct(F.array(*ends)).alias("pivots"))
-    pivots = space.keep(pivots.where(F.size("pivots") > 1), name)
-    pairs = (
-        buckets.join(pivots, "bucket")
-        .select("tid", F.explode("pivots").alias("pivot"))
-        .where("tid != pivot")
+    pivots = buckets.groupBy("bucket").agg(F.array(F.min("tid"), F.max("tid")).alias("pivots"))
+    pivots = space.keep(pivots.where("pivots[0] != pivots[1]"), "pivots")
+    return space.keep(buckets.join(pivots, "bucket").select("bucket", "tid", "pivots"), "shared")
+
+
+def _pivot_pairs(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs of each text with its buckets' pivots, as far as their lengths allow a link."""
+    pairs = shared.select("tid", F.explode("pivots").alias("pivot")).where("tid != pivot")
+    pairs = pairs.select(F.least("tid", "pivot").alias("a"), F.greatest("tid", "pivot").alias("b"))
+    return (
+        pairs.distinct()
+        .join(sizes.toDF("a", "size_a"), "a")
+        .join(sizes.toDF("b", "size_b"), "b")
+        .where(F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b") - 1e-9)
+        .select("a", "b")
+    )
+
+
+def _bag_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of each block pair that differ in class and that length and bag let link.
+
+    Rows come sorted by (bucket, low, high); a block pair's rows may span batches.
+    """
+    names = ["bucket", "low", "high", "part", "tid", "class", "n_terms", "over"]
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = (rows if rest is None else pa.concat_tables([rest, rows])).combine_chunks()
+        keys = np.stack([rows[name].to_numpy() for name in names[:3]])
+        edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        # The last block pair may go on in the next batch.
+        last = int(edges[-1]) if len(edges) else 0
+        rest = rows.slice(last)
+        if last:
+            yield from _blocks(rows.slice(0, last), edges, names)
+    if rest is not None and len(rest):
+        yield from _blocks(rest, np.array([len(rest)]), names)
+
+
+def _blocks(rows: pa.Table, ends: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
+    low, high, part, tid, own, size, over = (rows[name].to_numpy() for name in names[1:])
+    bags = np.frombuffer(b"".join(rows["bag"].to_pylist()), np.uint8).reshape(-1, BAG)
+    most = (1 - SIMILARITY) * size + 1e-9
+    lefts, rights = [], []
+    start = 0
+    for end in ends.tolist():
+        within = low[start] == high[start]
+        others = np.arange(start, end)
+        first = others if within else others[part[start:end] == low[start]]
+        others = others if within else others[part[start:end] != low[start]]
+        for row in first.tolist():
+            place = others[others > row] if within else others
+            longer = np.maximum(size[place], size[row])
+            fits = (own[place] != own[row]) & (np.abs(size[place] - size[row]) <= np.maximum(most[place], most[row]))
+            place, longer = place[fits], longer[fits]
+            if len(place):
+                common = np.minimum(bags[place], bags[row]).sum(axis=1, dtype=np.int64)
+                common += np.minimum(over[place], over[row])
+                place = place[longer - common <= np.maximum(most[place], most[row])]
+                lefts.append(np.full(len(place), tid[row]))
+                rights.append(tid[place])
+        start = end
+    if lefts:
+        left, right = np.concatenate(lefts), np.concatenate(rights)
+        pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
+def _open_pairs(shared: DataFrame, texts: DataFrame, stars: DataFrame, space: Scratch) -> DataFrame:
+    """All pairs of all buckets that are in different classes and may link by length and bag.
+
+    Buckets of one class have none; of buckets with the same texts one is read. A bucket of more
+    than BLOCK texts is dealt out as pairs of blocks, so no task holds more than two of them.
+    """
+    classes = stars.toDF("tid", "least")
+    classed = shared.join(classes, "tid", "left").select("bucket", "tid", F.coalesce("least", "tid").alias("class"))
+    live = classed.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.min("class").alias("least"),
+        F.max("class").alias("greatest"),
+        *[F.bit_xor(F.xxhash64("tid", F.lit(seed))).alias(f"x{seed}") for seed in range(2)],
     )
-    return pairs.select(F.least("tid", "pivot").alias("a"), F.greatest("tid", "pivot").alias("b")).distinct()
+    live = live.where("least != greatest").groupBy("n", "least", "greatest", "x0", "x1")
+    live = space.keep(live.agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "live")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    members = (
+        classed.join(live, "bucket")
+        .join(texts.select("tid", "n_terms", "over", "bag"), "tid")
+        .withColumn("part", F.pmod(F.xxhash64("tid"), blocks).cast("int"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(
+            "bucket",
+            F.least("part", "with").alias("low"),
+            F.greatest("part", "with").alias("high"),
+            "part",
+            "tid",
+            "class",
+            "n_terms",
+            "over",
+            "bag",
+        )
+    )
+    keys = ["bucket", "low", "high"]
+    members = members.repartition(*keys).sortWithinPartitions(*keys)
+    return members.mapInArrow(_bag_pairs, "a long, b long").distinct()
 
 
 def _id_key(doc_id: str) -> Column:
@@ -256,12 +364,16 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     the result reads.
     """
     keyed = _keyed(docs, doc_id, text)
-    fields = [T.StructField("n_terms", T.LongType()), T.StructField("sketches", T.ArrayType(T.LongType()))]
+    fields = [
+        T.StructField("n_terms", T.LongType()),
+        T.StructField("over", T.LongType()),
+        T.StructField("bag", T.BinaryType()),
+        T.StructField("sketches", T.ArrayType(T.LongType())),
+    ]
     sketched = append_columns(keyed, "text", fields, order_minhash, ["doc_id", "text_key", "id_key"])
     texts = sketched.groupBy("text_key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id_key")).alias("first"),
-        F.any_value("n_terms").alias("n_terms"),
-        F.any_value("sketches").alias("sketches"),
+        *[F.any_value(field.name).alias(field.name) for field in fields],
     )
     # Once written, the numbers stay what they are.
     texts = space.keep(
@@ -270,8 +382,7 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
             "text_key",
             "first.doc_id",
             "first.id_key",
-            "n_terms",
-            "sketches",
+            *[field.name for field in fields],
         ),
         "texts",
     )
@@ -281,8 +392,8 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     done: list[str] = []
     stars = None
 
-    def test(pairs: DataFrame) -> tuple[int, int]:
-        """Align pairs that are in different classes so far; how many there were, and links."""
+    def test(pairs: DataFrame) -> None:
+        """Align pairs that are in different classes so far and grow the classes by their links."""
         nonlocal stars
         name = f"{len(done)}"
         if stars is not None:
@@ -298,37 +409,17 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
         links = aligned.where("similarity IS NOT NULL").select("a", "b")
         # A class so far is a star; with the new links it gives what all links would.
         stars = components(links if stars is None else links.union(stars), space, f"stars-{name}")
-        return tuple(aligned.agg(F.count("*"), F.count("similarity")).first())
-
-    turn = 0
-    while True:
-        orders = [0] if turn == 0 else _ORDERS[2 * turn : 2 * turn + 2]
-        found = (
-            _candidates(buckets, orders, space, f"pivots-{turn}")
-            .join(sizes.toDF("a", "size_a"), "a")
-            .join(sizes.toDF("b", "size_b"), "b")
-            .where(
-                F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b") - 1e-9
-            )
-            .select("a", "b")
-        )
-        found = space.keep(found, f"found-{turn}")
-        pairs = links = 0
-        tests = [found]
-        if turn == 0:
-            # One pair of each text settles most classes; of the rest only pairs across classes count.
-            tests.insert(0, found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        turn_start = len(done)
-        for chosen in tests:
-            more_pairs, more_links = test(chosen)
-            pairs, links = pairs + more_pairs, links + more_links
-        if links == pairs or links * 100 < pairs:
-            break
-        failed = spark.read.parquet(*done[turn_start:]).where("similarity IS NULL")
-        failed = failed.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-        failed = space.keep(failed, f"failed-{turn}")
-        buckets = buckets.join(failed, "tid", "left_semi")
-        turn += 1
+
+    shared = _shared(buckets, space)
+    found = space.keep(_pivot_pairs(shared, sizes), "found")
+    # One pair of each text settles most classes; of the rest only pairs across classes count.
+    test(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    test(found)
+    rest = space.keep(_open_pairs(shared, texts, stars, space), "open")
+    tested = spark.read.parquet(*done).select("a", "b")
+    fresh = rest.join(tested, ["a", "b"], "left_anti")
+    test(fresh.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    test(rest)
     return (
         texts.join(stars.toDF("tid", "least"), "tid", "left")
         .select("text_key", "doc_id", "id_key", F.coalesce("least", "tid").alias("class_key"))
