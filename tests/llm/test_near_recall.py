@@ -26,3 +26,16 @@ def test_a_link_hidden_in_a_hot_passage_of_equal_lengths_is_found(spark):
     classes = _classes(spark, texts)
     assert classes[150:] == [150, 150]
     assert classes[:150] == list(range(150))
+
+
+def test_a_link_among_pivots_of_other_lengths_is_found(spark):
+    rng = random.Random(4)
+    passage = [f"p{n}" for n in range(80)]
+
+    def text(more: int) -> str:
+        return " ".join(passage + [f"w{rng.randrange(9**9)}" for _ in range(more)])
+
+    texts = [text(50) for _ in range(300)] + [text(20), text(20)]
+    classes = _classes(spark, texts)
+    assert classes[300:] == [300, 300]
+    assert classes[:300] == list(range(300))
