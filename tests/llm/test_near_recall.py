@@ -39,3 +39,13 @@ def test_a_link_among_pivots_of_other_lengths_is_found(spark):
     classes = _classes(spark, texts)
     assert classes[300:] == [300, 300]
     assert classes[:300] == list(range(300))
+
+
+def test_isolated_long_pairs_between_080_and_085_meet(spark):
+    texts = []
+    for pair in range(60):
+        words = [f"v{pair}x{n}" for n in range(180)]
+        texts += [" ".join(words), " ".join(_every(words, 5 if pair < 20 else 6, f"e{pair}x"))]
+    classes = _classes(spark, texts)
+    met = [classes[2 * pair + 1] == 2 * pair for pair in range(60)]
+    assert sum(met[:20]) >= 19 and all(met[20:])
