@@ -41,13 +41,48 @@ _CONTENT = frozenset(("article", "main"))
 # Headers of the page are furniture, those of an article are part of it.
 _LABEL = re.compile(r"(?:\bclass|\bid|\brole|\baria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _FURNITURE_WORD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side|aside|"
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side|aside|"
     r"header|masthead|footer|foot|cookies?|consent|notice|gdpr|popup|modal|newsletter|subscribe|"
     r"comments?|respond|disqus|replies|social|share|sharing|related|recommended|widget|login|signup|"
-    r"search|form|pagination|pager|skip|legal|copyright|toolbar|contentinfo|navigation|complementary)"
-    r"(?:$|[\s_-])",
+    r"search|form|pagination|pager|skip|legal|copyright|toolbar|contentinfo|navigation|complementary)",
     re.I,
 )
+# Words that name the place or form of furniture, but no state of another element (with, has, no, open).
+_NEUTRAL_WORD = re.compile(
+    r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|bar|box|block|area|list|links?|"
+    r"items?|buttons?|container|wrapper|wrap|section|inner|text|icons?|posts?|message|\d+)",
+    re.I,
+)
+# An article has such parts of its own.
+_OUTSIDE_WORD = re.compile(r"header|masthead|footer|foot|side|banner", re.I)
+# Which open elements a start tag ends, and which elements bound the search for them.
+_ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+_BOUNDS = {"li": ("ul", "ol", "menu", "dir"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
+
+
+def _names_furniture(label: str, inside: bool) -> bool:
+    """Whether a whole token of the label is made of furniture words and neutral words only."""
+    for token in label.split():
+        words = [word for word in re.split(r"[_-]+", token) if word]
+        named = [word for word in words if _FURNITURE_WORD.fullmatch(word)]
+        if inside:
+            named = [word for word in named if not _OUTSIDE_WORD.fullmatch(word)]
+        if named and all(word in named or _NEUTRAL_WORD.fullmatch(word) for word in words):
+            return True
+    return False
+
+
+def _end_implied(open_elements: list[tuple], name: str) -> None:
+    """Close what a start tag closes: a paragraph, or the item, cell or row before."""
+    if open_elements and open_elements[-1][0] == "p":
+        open_elements.pop()
+    for depth in range(len(open_elements) - 1, -1, -1):
+        if open_elements[depth][0] in _BOUNDS.get(name, ()):
+            return
+        if open_elements[depth][0] in _ENDS.get(name, ()):
+            del open_elements[depth:]
+            if name != "tr":
+                return
 
 
 def page_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
@@ -57,8 +92,9 @@ def page_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
     furniture: list[bool] = []
     content: list[bool] = []
     pieces: list[str] = []
-    open_elements: list[tuple[str, bool, bool]] = []
-    state = (False, False)
+    open_elements: list[tuple[str, bool, bool, bool]] = []
+    # Furniture, in content, furniture by an element and not only by a label.
+    state = (False, False, False)
 
     def flush() -> None:
         line = " ".join(unescape("".join(pieces)).split())
@@ -84,13 +120,18 @@ def page_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
                     del open_elements[depth:]
                     break
         elif name not in _EMPTY and not attributes.endswith("/"):
+            _end_implied(open_elements, name)
+            state = open_elements[-1][1:] if open_elements else (False, False, False)
+            # <article> and <main> start afresh from what a wrapper's label says.
             inside = state[1] or name in _CONTENT
-            bad = state[0] or name in _FURNITURE or (name == "header" and not inside)
+            fresh = name in _CONTENT and not state[1]
+            firm = state[2] or name in _FURNITURE or (name == "header" and not inside)
+            bad = firm or (state[0] and not fresh)
             if not bad and attributes and name not in ("html", "body"):
                 labels = (next(filter(None, m), "") for m in _LABEL.findall(attributes))
-                bad = any(_FURNITURE_WORD.search(label) for label in labels)
-            open_elements.append((name, bad, inside))
-        state = open_elements[-1][1:] if open_elements else (False, False)
+                bad = any(_names_furniture(label, inside) for label in labels)
+            open_elements.append((name, bad, inside, firm))
+        state = open_elements[-1][1:] if open_elements else (False, False, False)
     rest = html[at:]
     # A tag that the end of the page cuts off is no text.
     cut = re.search(r"<[/a-zA-Z!?][^<>]*$", rest)
