@@ -152,11 +152,13 @@ KINDS = (
 BASE = [kind.name for kind in KINDS if kind.base]
 _SPAN = "struct<start:int,kind_no:int,end:int,score:double>"
 _CHUNK = 256
+# No CONTEXT characters hold more matches of one kind: a match and the gap after it have three or more.
+_EARLIER = CONTEXT // 3 + 1
 
 
-def _score(kind: Kind, value: Column, gap: Column) -> Column:
+def _score(kind: Kind, value: Column, before: Column) -> Column:
     """The pattern's score, raised by a context word just before, 0 where the checksum fails."""
-    near = F.lower(F.right(gap, F.lit(CONTEXT))).rlike(rf"\b(?:{kind.words})")
+    near = F.lower(F.right(before, F.lit(CONTEXT))).rlike(rf"\b(?:{kind.words})")
     raised = F.lit(kind.score) + F.when(near, RAISE).otherwise(0.0)
     return F.when(kind.valid(value), F.least(raised, F.lit(1.0))).otherwise(0.0)
 
@@ -164,15 +166,31 @@ def _score(kind: Kind, value: Column, gap: Column) -> Column:
 def _matches(kind: Kind, source: Column) -> Column:
     """All matches of a kind: the length of the gap before, their own length, their score."""
     # One more gap than matches: the last pair has no match.
-    found = F.zip_with(
+    parts = F.zip_with(
         F.split(source, kind.pattern, -1),
         F.regexp_extract_all(source, F.lit(kind.pattern), F.lit(0)),
-        lambda gap, value: F.struct(
-            F.length(gap).alias("gap"),
-            F.length(value).alias("size"),
-            F.when(value.isNotNull(), _score(kind, value, gap)).alias("score"),
-        ),
+        lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")),
     )
+
+    def measured(parts: Column) -> Column:
+        def measure(part: Column, at: Column) -> Column:
+            first = F.greatest(at - _EARLIER, F.lit(0))
+            earlier = F.transform(
+                F.slice(parts, first + 1, at - first),
+                lambda one: F.concat(F.right(one["gap"], F.lit(CONTEXT)), one["value"]),
+            )
+            short = F.length(part["gap"]) < CONTEXT
+            before = F.when(short, F.concat(F.array_join(earlier, ""), part["gap"])).otherwise(part["gap"])
+            return F.struct(
+                F.length(part["gap"]).alias("gap"),
+                F.length(part["value"]).alias("size"),
+                F.when(part["value"].isNotNull(), _score(kind, part["value"], before)).alias("score"),
+            )
+
+        return F.transform(parts, measure)
+
+    # Bound by a lambda, the parts are found once.
+    found = F.transform(F.array(parts), measured)[0]
     return F.filter(found, lambda match: match["size"].isNotNull())
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quaymill.llm import html_text
+from quaymill.llm import html_text, pii
 
 
 def test_wrappers_and_unclosed_paragraphs_keep_the_article():
@@ -15,3 +15,12 @@ def test_wrappers_and_unclosed_paragraphs_keep_the_article():
     assert "First part" in text and "Second part" in text and "Seen" not in text and "Buy" not in text
     page = f"<div class='site-footer'>{body}</div><div class='cookie-banner'>{body}</div>"
     assert html_text.main_text(page) == ""
+
+
+def test_context_reaches_past_the_previous_match(spark):
+    texts = ["SSN: 123-45-6789, 219-09-9999", "call 555-123-4567 or 555-987-6543"]
+    far = "call 555-123-4567 " + "x " * 30 + "555-987-6543"
+    docs = spark.createDataFrame([(text,) for text in [*texts, far]], "text string")
+    got = [row["text"] for row in pii.redact_pii(docs, n_chars=None).collect()]
+    assert got[:2] == ["SSN: [SSN], [SSN]", "call [LOCAL_PHONE] or [LOCAL_PHONE]"]
+    assert got[2].endswith("555-987-6543")
