@@ -22,7 +22,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from quaymill.llm.common import TERM, append_columns, fold, raw_bytes, run_hashes, scratch, word_runs
@@ -48,6 +47,7 @@ QUOTES = frozenset("\"“”«»„")
 
 KINDS = ("plain", "aimed", "threat", "denied", "reported")
 _CLAUSE = re.compile(r"[.!?;\n]+")
+_FOREIGN_GAP = re.compile(r"[^\w\x00-\x7f]+")
 _TOKEN = re.compile(r"\w+|[\"“”«»„]")
 
 
@@ -103,8 +103,10 @@ class Grammar:
 
     def suspects(self, texts: pa.Array) -> np.ndarray:
         """Which texts have a word or stem of the lexicon, or a threat verb."""
-        lowered = pc.utf8_lower(texts.fill_null("").cast(pa.large_string()))
-        data, at = raw_bytes(lowered)
+        # The same letters and word ends as in the grammar; TERM only tells ASCII gaps.
+        lowered = [(text or "").lower() for text in texts.to_pylist()]
+        lowered = [text if text.isascii() else _FOREIGN_GAP.sub(" ", text) for text in lowered]
+        data, at = raw_bytes(pa.array(lowered, pa.large_string()))
         if len(data) == 0:
             return np.zeros(len(texts), bool)
         starts, ends = word_runs(data, at, TERM)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from quaymill.llm import html_text, pii
+import pyarrow as pa
+
+from quaymill.llm import html_text, pii, toxicity
 
 
 def test_wrappers_and_unclosed_paragraphs_keep_the_article():
@@ -24,3 +26,11 @@ def test_context_reaches_past_the_previous_match(spark):
     got = [row["text"] for row in pii.redact_pii(docs, n_chars=None).collect()]
     assert got[:2] == ["SSN: [SSN], [SSN]", "call [LOCAL_PHONE] or [LOCAL_PHONE]"]
     assert got[2].endswith("555-987-6543")
+
+
+def test_screen_drops_no_text_with_features():
+    grammar = toxicity.Grammar({"idiota": 2.0, "moron": 2.0}, {"stup": 1.5})
+    texts = ["¡Idiota!", "‘moron’", "you—moron", "«stupido»", "a moron", "，moron，", "kind words", "señor", None]
+    features = [any(grammar.features(text or "")) for text in texts]
+    assert features == [True] * 6 + [False] * 3
+    assert grammar.suspects(pa.array(texts)).tolist() == features
