@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quaymill.llm.common import SHINGLE_WORDS, shingle_hashes, term_hashes, text_slices
+from quaymill.llm.common import SHINGLE_WORDS, scratch, shingle_hashes, term_hashes, text_slices
 
 SIMILARITY = 0.8
 BITS = 64
@@ -59,7 +59,8 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 class ItemIndex:
     """The items of one block: their shingles, fingerprints and the Hamming index."""
 
-    def __init__(self, ids: list, texts: list[str | None]):
+    def __init__(self, ids: list, texts: list[str | None], counts: dict[int, int] | None = None):
+        """``counts`` has how many items of all blocks hold a shingle, where that is more than one."""
         terms, at = term_hashes(pa.array(texts, pa.string()))
         sizes = np.diff(at)
         kept = np.flatnonzero(sizes > 0)
@@ -72,12 +73,13 @@ class ItemIndex:
         for number, bag in enumerate(bags):
             for shingle in bag:
                 having[shingle].append(number)
-        self.bags = [{s: (c, 1 / len(having[s])) for s, c in bag.items()} for bag in bags]
+        items = {s: len(numbers) for s, numbers in having.items()} if counts is None else counts
+        self.bags = [{s: (c, 1 / items.get(s, 1)) for s, c in bag.items()} for bag in bags]
         self.totals = [sum(c * w for c, w in bag.values()) for bag in self.bags]
         # The shingle lengths in use: five, or all terms of a shorter item.
         self.lengths = sorted(set(np.minimum(self.sizes, SHINGLE_WORDS).tolist()))
         self.known = np.array(sorted(having), np.uint64)
-        self.weights = np.array([1 / len(having[s]) for s in self.known.tolist()])
+        self.weights = np.array([1 / items.get(s, 1) for s in self.known.tolist()])
         self.screen = np.zeros(1 << _SCREEN_BITS, bool)
         self.screen[self.known >> np.uint64(64 - _SCREEN_BITS)] = True
         # The window sizes that each shingle calls for.
@@ -185,13 +187,40 @@ class ItemIndex:
                 yield (int(text[window]), item), (share, int(start[window]))
 
 
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's shingles, each once, with the item's block."""
+    for batch in batches:
+        for start, texts in text_slices(batch.column("text")):
+            terms, at = term_hashes(texts)
+            bags = [
+                np.unique(shingle_hashes(terms[low:high], SHINGLE_WORDS)).view(np.int64)
+                for low, high in zip(at[:-1], at[1:])
+            ]
+            rows = np.repeat(np.arange(start, start + len(bags)), [len(bag) for bag in bags])
+            shingles = np.concatenate([np.zeros(0, np.int64), *bags])
+            columns = [batch.column("block").take(pa.array(rows, pa.int64())), pa.array(shingles)]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "shingle"])
+
+
 def _indexes(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterator[ItemIndex]:
     items = benchmark.select(F.col(item_id).alias("id"), F.col(text).alias("text"))
     blocks = max(1, -(-items.count() // limit))
+    block_of = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
+    shared = None
+    if blocks > 1:
+        # Counted over all items, so that a weight does not depend on the blocks.
+        space = scratch(benchmark.sparkSession, "leaks")
+        shingles = items.select(block_of.cast("long").alias("block"), "text")
+        shingles = space.keep(shingles.mapInArrow(_item_shingles, "block long, shingle long"), "shingles")
+        counts = space.keep(shingles.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+        shared = shingles.distinct().join(counts, "shingle")
     for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
-        rows = part.collect()
-        yield ItemIndex([row["id"] for row in rows], [row["text"] for row in rows])
+        rows = items.where(block_of == block).collect()
+        counts = None
+        if shared is not None:
+            own = shared.where(F.col("block") == block).select("shingle", "n").toArrow()
+            counts = dict(zip(own["shingle"].to_numpy().view(np.uint64).tolist(), own["n"].to_pylist()))
+        yield ItemIndex([row["id"] for row in rows], [row["text"] for row in rows], counts)
 
 
 def find_leaks(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 
-from quaymill.llm import html_text, pii, toxicity
+from quaymill.llm import decontaminate, html_text, pii, toxicity
 
 
 def test_wrappers_and_unclosed_paragraphs_keep_the_article():
@@ -34,3 +34,21 @@ def test_screen_drops_no_text_with_features():
     features = [any(grammar.features(text or "")) for text in texts]
     assert features == [True] * 6 + [False] * 3
     assert grammar.suspects(pa.array(texts)).tolist() == features
+
+
+def test_similarity_does_not_depend_on_item_blocks(spark):
+    words = [f"w{n}" for n in range(400)]
+    shared = words[:12]
+    items = [(n, " ".join(shared + words[20 + 20 * n : 36 + 20 * n])) for n in range(12)]
+    docs = [(n, text + " tail of the text") for n, text in items]
+    docs += [(50 + n, " ".join(f"z{k}" if k in (2, 3) else w for k, w in enumerate(text.split()))) for n, text in items]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def leaks(limit: int) -> dict:
+        rows = decontaminate.find_leaks(docs, bench, items_per_block=limit).collect()
+        return {(row["doc_id"], row["item_id"]): round(row["similarity"], 9) for row in rows}
+
+    whole = leaks(100)
+    assert len(whole) >= 24 and min(whole.values()) < 1
+    assert leaks(3) == whole
