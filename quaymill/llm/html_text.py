@@ -12,6 +12,7 @@ stray lines around the text stay out.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -60,6 +61,7 @@ _ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td
 _BOUNDS = {"li": ("ul", "ol", "menu", "dir"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
 
 
+@lru_cache(4096)
 def _names_furniture(label: str, inside: bool) -> bool:
     """Whether a whole token of the label is made of furniture words and neutral words only."""
     for token in label.split():
