@@ -47,6 +47,68 @@ WITH parts AS (
 SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)
 """
 
+# crc32 byte by byte, from the table of its polynomial; fixed value 3988292384.
+_CRC_TABLE = """
+poly AS (
+  SELECT list(entry ORDER BY n) AS entries FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)),
+      lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS entry
+    FROM range(256) AS numbers(n))
+)
+"""
+
+
+def _crc32(blob: str) -> str:
+    """The SQL of the crc32 of a blob, next to ``poly``."""
+    place = "list_prepend(4294967295, list_transform(range(octet_length({0})), lambda i: CAST('0x' || substr(hex({0}), 2 * i + 1, 2) AS BIGINT)))"
+    step = "lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({place.format(blob)}, {step}), 4294967295)"
+
+
+_IMPORTANCE = f"""
+WITH {_CRC_TABLE}, texts AS (
+  SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+), words AS (
+  SELECT side, doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+  FROM texts
+), tallied AS (
+  SELECT side, doc_id, word, count(*) AS n FROM words GROUP BY ALL
+), buckets AS (
+  SELECT word, {_crc32("encode(word)")} % 10000 AS bucket FROM (SELECT DISTINCT word FROM tallied), poly
+), totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t
+  FROM tallied JOIN buckets USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM totals) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM totals) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM totals
+), weights AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM tallied JOIN buckets USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln(
+      (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT)::DOUBLE + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights USING (doc_id)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS able
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= able * 10 // 100 THEN place END AS rank
+FROM placed
+"""
+
+_COPIES = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat": _CHAT, "op10_url_rules": _URLS}
+    return {"op4_chat": _CHAT, "op10_url_rules": _URLS, "op11_importance": _IMPORTANCE, "op12_exact_copies": _COPIES}

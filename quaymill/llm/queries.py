@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymill.llm import chat, decontaminate, html_text, mixing, near_dedup, pii, quality_net, quality_rules, toxicity, url_rules
+from quaymill.llm import (
+    chat,
+    decontaminate,
+    exact_copies,
+    html_text,
+    importance,
+    mixing,
+    near_dedup,
+    pii,
+    quality_net,
+    quality_rules,
+    toxicity,
+    url_rules,
+)
 from quaymill.llm.common import table
 
 
@@ -86,6 +99,19 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, rules).drop("url")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's weight towards the benchmark's words, and its rank if it is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the copy of it that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    whole = F.coalesce("text", F.lit("")).cast("binary")
+    return exact_copies.find_copies(docs.withColumn("text_sha256", F.sha2(whole, 256)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -98,4 +124,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_rules": op10_url_rules,
+        "op11_importance": op11_importance,
+        "op12_exact_copies": op12_exact_copies,
     }
