@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express.
 
 Near copies, mixing (its order is by Spark's hash), learned scores, page text and leaks have none;
-tests hold them against brute force or held-out labels.
+tests hold these against brute force or held-out labels.
 """
 
 from __future__ import annotations
@@ -109,6 +109,48 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+_TRIE = f"""
+WITH {_CRC_TABLE}, ids AS (
+  SELECT conv_id, CAST({_crc32("encode(CAST(conv_id AS VARCHAR))")} % 6 AS BIGINT) AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations), poly
+), placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+    sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, ''))) AS name, length(coalesce(text, '')) AS chars
+  FROM conversations
+), rebuilt AS (
+  SELECT ids.conv_id, place, name, chars FROM ids JOIN placed ON placed.conv_id = ids.conv_id - ids.conv_id % 100
+  WHERE place <= h
+  UNION ALL SELECT ids.conv_id, place, name, chars FROM ids JOIN placed USING (conv_id) WHERE place > h
+), paths AS (
+  SELECT conv_id, chars, row_number() OVER w AS depth, string_agg(name, '') OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids
+), nodes AS (
+  SELECT path, depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs FROM paths GROUP BY ALL
+), childs AS (
+  SELECT left(path, CAST(64 * (depth - 1) AS BIGINT)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), whole AS (
+  SELECT nodes.*, coalesce(childs.n, 0) AS n_children FROM nodes LEFT JOIN childs USING (path)
+), below AS (
+  SELECT left(path, CAST(64 * up AS BIGINT)) AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+    CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM whole) GROUP BY ALL
+), finals AS (
+  SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS digest
+  FROM (SELECT conv_id, max(path) AS path FROM paths GROUP BY conv_id) GROUP BY path
+)
+SELECT whole.conv_id, whole.depth, above.conv_id AS parent_conv_id, whole.n_convs, whole.n_children, n_leaves,
+  saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM whole JOIN below USING (path) LEFT JOIN finals USING (path)
+LEFT JOIN nodes AS above ON whole.depth > 0 AND above.path = left(whole.path, CAST(64 * (whole.depth - 1) AS BIGINT))
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat": _CHAT, "op10_url_rules": _URLS, "op11_importance": _IMPORTANCE, "op12_exact_copies": _COPIES}
+    return {
+        "op4_chat": _CHAT,
+        "op10_url_rules": _URLS,
+        "op11_importance": _IMPORTANCE,
+        "op12_exact_copies": _COPIES,
+        "op13_prefix_trie": _TRIE,
+    }

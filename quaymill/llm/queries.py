@@ -15,6 +15,7 @@ from quaymill.llm import (
     mixing,
     near_dedup,
     pii,
+    prefix_trie,
     quality_net,
     quality_rules,
     toxicity,
@@ -112,6 +113,12 @@ def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.find_copies(docs.withColumn("text_sha256", F.sha2(whole, 256)))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct prefix of the conversations, whose openings are shared by hundreds."""
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return prefix_trie.build_trie(prefix_trie.share_openings(lists)).drop("name")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -126,4 +133,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_url_rules": op10_url_rules,
         "op11_importance": op11_importance,
         "op12_exact_copies": op12_exact_copies,
+        "op13_prefix_trie": op13_prefix_trie,
     }
