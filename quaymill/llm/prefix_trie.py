@@ -280,7 +280,9 @@ def _ends(members: DataFrame, space: Scratch) -> DataFrame:
     # A digest is a fold over all ids of an end in order: they stream through one task, which holds
     # one batch. Ends with a single id, most of them, need none of that.
     several = members.where("conv_id IS NOT NULL").select("end", "conv_id")
-    several = several.join(ends.where("named > 1").select("end"), "end", "left_semi")
+    # Written: a repartition by the key of a join below it is left out of the plan, and that join may
+    # split a hot end over several tasks.
+    several = space.keep(several.join(ends.where("named > 1").select("end"), "end", "left_semi"), "several")
     streamed = several.repartition("end").sortWithinPartitions("end", "conv_id")
     digests = streamed.mapInArrow(_digests, "end binary, ends_sha256 string")
     alone = F.sha2(F.coalesce(F.col("least").cast("string"), F.lit("")).cast("binary"), 256)
