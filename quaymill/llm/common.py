@@ -183,3 +183,30 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         out = out * np.uint64(_BASE) + words[step : step + count]
         out ^= out >> np.uint64(32)
     return mixed(out)
+
+
+def _map_word(key: Column, words: int) -> Column:
+    return F.pmod(key, F.lit(words)).cast("int")
+
+
+def _map_bit(key: Column) -> Column:
+    # Bits that the word number, a remainder, leaves unused.
+    return F.shiftrightunsigned(key, 58).cast("int")
+
+
+def bit_map(keys: DataFrame, words: int, space: Scratch, name: str) -> DataFrame:
+    """At most ``words`` rows (word, bits) with the bit of every key in the column ``key`` set."""
+    placed = keys.select(_map_word(F.col("key"), words).alias("word"), _map_bit(F.col("key")).alias("place"))
+    bits = placed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
+    return space.keep(bits, name)
+
+
+def marked(frame: DataFrame, key: Column, bit_map: DataFrame, words: int, mark: str) -> DataFrame:
+    """Append whether the key's bit is set, which it may be by another key. Broadcasts the bit map."""
+    set_bits = bit_map.toDF(f"{mark}_word", f"{mark}_bits")
+    joined = frame.withColumn(f"{mark}_key", key)
+    joined = joined.join(
+        F.broadcast(set_bits), _map_word(F.col(f"{mark}_key"), words) == F.col(f"{mark}_word"), "left"
+    )
+    is_set = F.getbit(F.coalesce(f"{mark}_bits", F.lit(0).cast("long")), _map_bit(F.col(f"{mark}_key"))) == 1
+    return joined.withColumn(mark, is_set).drop(f"{mark}_key", f"{mark}_word", f"{mark}_bits")

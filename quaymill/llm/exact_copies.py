@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymill.llm.common import own_column, scratch
+from quaymill.llm.common import bit_map, marked, own_column, scratch
 from quaymill.operators.dedup import keep_first
 from quaymill.sources.workspace import Scratch
 
@@ -27,33 +27,6 @@ HEAD_CHARS = 64
 FILTER_WORDS = 1 << 16
 
 
-def _word(key: Column, words: int) -> Column:
-    return F.pmod(key, F.lit(words)).cast("int")
-
-
-def _bit(key: Column) -> Column:
-    # Bits that the word number, a remainder, leaves unused.
-    return F.shiftrightunsigned(key, 58).cast("int")
-
-
-def _bit_map(keys: DataFrame, words: int, space: Scratch, name: str) -> DataFrame:
-    """At most ``words`` rows (word, bits) with the bit of every key in the column ``key`` set."""
-    placed = keys.select(_word(F.col("key"), words).alias("word"), _bit(F.col("key")).alias("place"))
-    bits = placed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
-    return space.keep(bits, name)
-
-
-def _marked(frame: DataFrame, key: Column, bit_map: DataFrame, words: int, mark: str) -> DataFrame:
-    """Append whether the key's bit is set."""
-    set_bits = bit_map.toDF(f"{mark}_word", f"{mark}_bits")
-    joined = frame.withColumn(f"{mark}_key", key)
-    joined = joined.join(
-        F.broadcast(set_bits), _word(F.col(f"{mark}_key"), words) == F.col(f"{mark}_word"), "left"
-    )
-    is_set = F.getbit(F.coalesce(f"{mark}_bits", F.lit(0).cast("long")), _bit(F.col(f"{mark}_key"))) == 1
-    return joined.withColumn(mark, is_set).drop(f"{mark}_key", f"{mark}_word", f"{mark}_bits")
-
-
 def _facets(text: str) -> tuple[Column, Column]:
     whole = F.coalesce(F.col(text), F.lit(""))
     return F.octet_length(whole).cast("long"), F.xxhash64(F.left(whole, F.lit(HEAD_CHARS)))
@@ -68,10 +41,10 @@ def _suspects(docs: DataFrame, text: str, words: int, space: Scratch) -> DataFra
     size, head = _facets(text)
     facets = space.keep(docs.select(size.alias("size"), head.alias("head")), "facets")
     lengths = facets.groupBy("size").agg(F.count("*").alias("n")).where("n > 1")
-    by_length = _bit_map(lengths.select(F.xxhash64("size").alias("key")), words, space, "lengths")
-    going_on = _marked(facets, F.xxhash64("size"), by_length, words, "shared").where("shared")
+    by_length = bit_map(lengths.select(F.xxhash64("size").alias("key")), words, space, "lengths")
+    going_on = marked(facets, F.xxhash64("size"), by_length, words, "shared").where("shared")
     heads = going_on.groupBy("size", "head").agg(F.count("*").alias("n")).where("n > 1")
-    return _bit_map(heads.select(F.xxhash64("size", "head").alias("key")), words, space, "heads")
+    return bit_map(heads.select(F.xxhash64("size", "head").alias("key")), words, space, "heads")
 
 
 def find_copies(
@@ -99,7 +72,7 @@ def find_copies(
         F.xxhash64(size, head).alias("key"),
         _digest(text).alias("whole"),
     )
-    hashed = _marked(rows, F.col("key"), known, filter_words, "suspect").select(
+    hashed = marked(rows, F.col("key"), known, filter_words, "suspect").select(
         F.monotonically_increasing_id().alias("place"),
         "row",
         "doc_id",
@@ -140,10 +113,10 @@ def drop_copies(
     space = scratch(docs.sparkSession, "copies")
     known = _suspects(docs, text, filter_words, space)
     full, mark, best, id_tag = (own_column(docs, name) for name in ("full", "suspect", "best", "id_tag"))
-    marked = _marked(docs, F.xxhash64(*_facets(text)), known, filter_words, mark)
-    alike = marked.where(F.col(mark)).drop(mark).withColumn(full, _digest(text))
+    flagged = marked(docs, F.xxhash64(*_facets(text)), known, filter_words, mark)
+    alike = flagged.where(F.col(mark)).drop(mark).withColumn(full, _digest(text))
     last = alike.groupBy(full).agg(F.max(F.col(doc_id)).alias(best))
     last = space.keep(last.select(F.col(full).alias("digest"), F.col(best).alias(id_tag)), "last")
     same = (alike[full] == last["digest"]) & alike[doc_id].eqNullSafe(last[id_tag])
     stays = keep_first(alike.join(last, same, "left_semi"), [full]).drop(full)
-    return marked.where(~F.col(mark)).select(*docs.columns).unionByName(stays.select(*docs.columns))
+    return flagged.where(~F.col(mark)).select(*docs.columns).unionByName(stays.select(*docs.columns))

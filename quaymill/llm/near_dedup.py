@@ -6,17 +6,23 @@ labelled runs with the smallest hashes; these runs in text order are the sketch,
 share it with a probability that falls with their edit distance. Texts of up to SHORT terms are
 also sketched on pairs of terms, of which an edit breaks fewer.
 
-Candidates. Texts with a sketch in common form a bucket. First each text of a bucket is paired with
-the bucket's first and last text only; one pair per text is tested, then those whose texts are
-still in different classes. Then every bucket is settled: of all its pairs, those in different
-classes whose lengths and bags of terms allow a link are tested, first one per text. The bag test
-loses nothing, as no alignment matches more terms than two bags share; it reads BAG counts per
-text, in blocks of BLOCK texts. There is no cap on buckets, partners or rounds.
+Candidates. Texts with a sketch in common form a bucket. In PIVOT_ROUNDS rounds each text is tested
+with one pivot, of all pivots of its buckets that may be linked to it by length that which shares
+most buckets with it; from the second round on, only texts whose buckets hold another class and
+pivots of that class count. Then what is still open is settled exactly: all pairs of texts of open
+buckets that are in different classes and can be linked. Within an edit distance of 20 % of
+n terms, the longer text, at least n - 1 - 2 * floor(n / 5) occurrence-labelled pairs of neighbouring
+terms stay common, so two such texts share one of their rarest pairs, as many as each may lose and
+one more. A join on these rare pairs therefore loses no link, and a passage that many texts hold is
+not among them unless it is most of a text. There is no cap on buckets, partners or candidates.
 
 Decision. Two texts are linked if the edit distance of their term sequences is at most 20 % of
-the longer one. It is computed exactly within that band, bit-parallel over the band's width.
+the longer one. It is computed exactly within that band, bit-parallel over the band's width, after
+the counts of common terms and common pairs of neighbouring terms allow it.
 
-Exact copies fold into one text before all this. Classes are the connected components of links.
+Exact copies fold into one text before candidates are sought. Texts are read twice: once to be sketched
+and, those in a bucket with others, once more for their terms, which later steps read. Classes are the
+connected components of links.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quaymill.llm.common import (
     append_columns,
+    bit_map,
+    marked,
     mixed,
     own_column,
     scratch,
@@ -50,9 +58,11 @@ SHORT_SHINGLE = 2
 # Of runs of three enough stay whole at a similarity of 0.8, of runs of five they do not.
 LONG_SHINGLE = 3
 
-# Terms are counted by hash in BAG bytes per text; what exceeds a byte is carried along.
-BAG = 256
-BLOCK = 512
+PIVOT_ROUNDS = 2
+# How rare a pair of terms is, is told by this many counters over hashes. They only set the order.
+COUNTERS = 1 << 20
+# Words of the broadcast bit map that tells which texts are read again.
+FILTER_WORDS = 1 << 16
 
 _SEEDS = np.random.default_rng(1).integers(1, 1 << 63, 2 * SKETCHES, np.uint64) | np.uint64(1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -111,17 +121,8 @@ def _sketch_family(
     return out
 
 
-def _bags(terms: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """BAG counts of each text's terms, at most 255 each, and the sum of what exceeds that."""
-    texts = len(at) - 1
-    text = np.repeat(np.arange(texts), np.diff(at))
-    place = (terms >> np.uint64(64 - BAG.bit_length() + 1)).astype(np.int64)
-    counts = np.bincount(text * BAG + place, minlength=texts * BAG).reshape(texts, BAG)
-    return np.minimum(counts, 255).astype(np.uint8), np.maximum(counts - 255, 0).sum(axis=1)
-
-
 def order_minhash(texts: pa.Array) -> dict[str, object]:
-    """The number of terms, the bag and the sketch hashes of each text; an empty text has no sketch."""
+    """The number of terms and the sketch hashes of each text; an empty text has no sketch."""
     terms, at = term_hashes(texts)
     lengths = np.diff(at)
     sketches: list[list[int]] = [[] for _ in range(len(texts))]
@@ -135,11 +136,8 @@ def order_minhash(texts: pa.Array) -> dict[str, object]:
             rows = _sketch_family(terms, at, chosen, size, seeds).view(np.int64).tolist()
             for text, row in zip(chosen.tolist(), rows):
                 sketches[text] = sketches[text] + row
-    bags, over = _bags(terms, at)
     return {
         "n_terms": pa.array(lengths, pa.int64()),
-        "bag": pa.array([bag.tobytes() for bag in bags], pa.binary()),
-        "over": pa.array(over, pa.int64()),
         "sketches": pa.array(sketches, pa.list_(pa.int64())),
     }
 
@@ -208,140 +206,150 @@ def alignment_similarity(left: np.ndarray, right: np.ndarray, least: float) -> f
     # No alignment matches more terms than the two texts have in common.
     if longer - (Counter(a) & Counter(b)).total() > most:
         return None
+    # An edit takes away two pairs of neighbours at most.
+    if longer - 1 - (Counter(zip(a, a[1:])) & Counter(zip(b, b[1:]))).total() > 2 * most:
+        return None
     distance = banded_distance(a, b, most)
     return None if distance is None else 1 - distance / longer
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, left in text_slices(batch.column("text_a")):
-            part = batch.slice(start, len(left))
-            terms_a, at_a = term_hashes(left)
-            terms_b, at_b = term_hashes(part.column("text_b"))
-            similarity = [
-                alignment_similarity(
-                    terms_a[at_a[row] : at_a[row + 1]], terms_b[at_b[row] : at_b[row + 1]], SIMILARITY
-                )
-                for row in range(len(left))
-            ]
-            columns = [part.column("a"), part.column("b"), pa.array(similarity, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity"])
+        both = (batch.column(name).to_pylist() for name in ("terms_a", "terms_b"))
+        similarity = [
+            alignment_similarity(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), SIMILARITY)
+            for a, b in zip(*both)
+        ]
+        columns = [batch.column("a"), batch.column("b"), pa.array(similarity, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity"])
 
 
 # --- candidates -----------------------------------------------------------------------------
 
 
+def _may_link(left: str, right: str) -> Column:
+    """Whether two texts of so many terms can be linked."""
+    return F.least(left, right) >= F.lit(SIMILARITY) * F.greatest(left, right) - 1e-9
+
+
 def _shared(buckets: DataFrame, space: Scratch) -> DataFrame:
-    """Rows (bucket, tid, pivots) of the buckets with several texts; pivots are the first and last.
+    """Rows (bucket, tid, n_terms, pivots) of the buckets with several texts; a pivot per round.
 
-    The least and the greatest fold before the shuffle. They are written, so that they share no
-    stage with the join and adaptive execution can split it where a bucket holds very many texts.
+    The first pivot of a bucket is its least text, the others are the least by hashes. They fold
+    before the shuffle and are written, so that they share no stage with the join and adaptive
+    execution can split it where a bucket holds very many texts.
     """
-    pivots = buckets.groupBy("bucket").agg(F.array(F.min("tid"), F.max("tid")).alias("pivots"))
-    pivots = space.keep(pivots.where("pivots[0] != pivots[1]"), "pivots")
-    return space.keep(buckets.join(pivots, "bucket").select("bucket", "tid", "pivots"), "shared")
+    orders = [F.col("tid"), *[F.xxhash64(F.lit(turn), F.col("tid")) for turn in range(1, PIVOT_ROUNDS)]]
+    folds = [F.min_by(F.col(name), order).alias(f"{name}_{turn}") for turn, order in enumerate(orders) for name in ("tid", "n_terms")]
+    found = buckets.groupBy("bucket").agg(F.count("*").alias("texts"), *folds).where("texts > 1")
+    pivots = [
+        F.struct(F.col(f"tid_{turn}").alias("tid"), F.col(f"n_terms_{turn}").alias("n_terms"))
+        for turn in range(PIVOT_ROUNDS)
+    ]
+    found = space.keep(found.select("bucket", F.array(*pivots).alias("pivots")), "pivots")
+    return space.keep(buckets.join(found, "bucket").select("bucket", "tid", "n_terms", "pivots"), "shared")
 
 
-def _pivot_pairs(shared: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs of each text with its buckets' pivots, as far as their lengths allow a link."""
-    pairs = shared.select("tid", F.explode("pivots").alias("pivot")).where("tid != pivot")
-    pairs = pairs.select(F.least("tid", "pivot").alias("a"), F.greatest("tid", "pivot").alias("b"))
-    return (
-        pairs.distinct()
-        .join(sizes.toDF("a", "size_a"), "a")
-        .join(sizes.toDF("b", "size_b"), "b")
-        .where(F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b") - 1e-9)
-        .select("a", "b")
-    )
+def _best_pivots(shared: DataFrame, turn: int) -> DataFrame:
+    """One pair (a, b) per text at most: with the pivot that stands in most of its buckets."""
+    pairs = shared.select("tid", "n_terms", F.col("pivots")[turn].alias("pivot"))
+    pairs = pairs.select("tid", "n_terms", F.col("pivot.tid").alias("pivot"), F.col("pivot.n_terms").alias("size"))
+    pairs = pairs.where((F.col("tid") != F.col("pivot")) & _may_link("n_terms", "size"))
+    counted = pairs.groupBy("tid", "pivot").agg(F.count("*").alias("n"))
+    best = counted.groupBy("tid").agg(F.max_by("pivot", "n").alias("pivot"))
+    return best.select(F.least("tid", "pivot").alias("a"), F.greatest("tid", "pivot").alias("b")).distinct()
 
 
-def _bag_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of each block pair that differ in class and that length and bag let link.
+def _open(shared: DataFrame, stars: DataFrame, space: Scratch, name: str) -> DataFrame:
+    """The rows of ``shared`` whose buckets hold texts of several classes, with each text's class."""
+    classes = stars.toDF("tid", "least")
+    classed = shared.join(classes, "tid", "left").withColumn("class", F.coalesce("least", "tid")).drop("least")
+    classed = space.keep(classed, f"classed-{name}")
+    several = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    several = space.keep(several.where("low != high").select("bucket"), f"several-{name}")
+    return classed.join(several, "bucket", "left_semi")
 
-    Rows come sorted by (bucket, low, high); a block pair's rows may span batches.
-    """
-    names = ["bucket", "low", "high", "part", "tid", "class", "n_terms", "over"]
-    rest = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = (rows if rest is None else pa.concat_tables([rest, rows])).combine_chunks()
-        keys = np.stack([rows[name].to_numpy() for name in names[:3]])
-        edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        # The last block pair may go on in the next batch.
-        last = int(edges[-1]) if len(edges) else 0
-        rest = rows.slice(last)
-        if last:
-            yield from _blocks(rows.slice(0, last), edges, names)
-    if rest is not None and len(rest):
-        yield from _blocks(rest, np.array([len(rest)]), names)
-
-
-def _blocks(rows: pa.Table, ends: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
-    low, high, part, tid, own, size, over = (rows[name].to_numpy() for name in names[1:])
-    bags = np.frombuffer(b"".join(rows["bag"].to_pylist()), np.uint8).reshape(-1, BAG)
-    most = (1 - SIMILARITY) * size + 1e-9
-    lefts, rights = [], []
-    start = 0
-    for end in ends.tolist():
-        within = low[start] == high[start]
-        others = np.arange(start, end)
-        first = others if within else others[part[start:end] == low[start]]
-        others = others if within else others[part[start:end] != low[start]]
-        for row in first.tolist():
-            place = others[others > row] if within else others
-            longer = np.maximum(size[place], size[row])
-            fits = (own[place] != own[row]) & (np.abs(size[place] - size[row]) <= np.maximum(most[place], most[row]))
-            place, longer = place[fits], longer[fits]
-            if len(place):
-                common = np.minimum(bags[place], bags[row]).sum(axis=1, dtype=np.int64)
-                common += np.minimum(over[place], over[row])
-                place = place[longer - common <= np.maximum(most[place], most[row])]
-                lefts.append(np.full(len(place), tid[row]))
-                rights.append(tid[place])
-        start = end
-    if lefts:
-        left, right = np.concatenate(lefts), np.concatenate(rights)
-        pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-
-def _open_pairs(shared: DataFrame, texts: DataFrame, stars: DataFrame, space: Scratch) -> DataFrame:
-    """All pairs of all buckets that are in different classes and may link by length and bag.
-
-    Buckets of one class have none; of buckets with the same texts one is read. A bucket of more
-    than BLOCK texts is dealt out as pairs of blocks, so no task holds more than two of them.
+
+# --- settling -------------------------------------------------------------------------------
+
+
+def least_common_pairs(n_terms: int) -> int:
+    """How many labelled pairs of neighbours a text surely shares with any longer text it is linked to."""
+    return min(n - 1 - 2 * (n // 5) for n in (n_terms, -(-n_terms // 5) * 5))
+
+
+def _neighbour_pairs(terms: np.ndarray) -> np.ndarray:
+    runs = shingle_hashes(terms, 2)
+    return _labelled(runs, np.zeros(len(runs), np.int64))
+
+
+def _place(pairs: np.ndarray) -> np.ndarray:
+    return (pairs >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+
+
+def _counts(opened: DataFrame) -> np.ndarray:
+    """COUNTERS numbers: how many labelled pairs of all open texts fall on each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                np.add.at(total, _place(_neighbour_pairs(np.frombuffer(blob, np.uint64))), 1)
+        filled = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(total[filled])], ["place", "n"])
+
+    summed = opened.select("terms").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    # One number per counter at most.
+    found = summed.where("n > 1").toArrow()
+    counts = np.ones(COUNTERS, np.int64)
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def _rare_pairs(counts: np.ndarray):
+    """Rows (pair, tid, n_terms, class): the rarest labelled pairs of each text.
+
+    Pairs are ordered by counter and hash, in one order for all texts. A pair that no other text
+    has a counter in common with can have no partner and is left out.
     """
-    classes = stars.toDF("tid", "least")
-    classed = shared.join(classes, "tid", "left").select("bucket", "tid", F.coalesce("least", "tid").alias("class"))
-    live = classed.groupBy("bucket").agg(
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sizes = [], []
+            for blob in batch.column("terms").to_pylist():
+                terms = np.frombuffer(blob, np.uint64)
+                pairs = _neighbour_pairs(terms)
+                counted = counts[_place(pairs)]
+                rarest = np.lexsort((pairs, counted))[: len(pairs) - least_common_pairs(len(terms)) + 1]
+                rarest = pairs[rarest[counted[rarest] > 1]]
+                found.append(rarest)
+                sizes.append(len(rarest))
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+            columns = [pa.array(np.concatenate(found).view(np.int64))] if found else [pa.array([], pa.int64())]
+            names = ["tid", "n_terms", "class"]
+            columns += [batch.column(name).take(rows) for name in names]
+            yield pa.RecordBatch.from_arrays(columns, ["pair", *names])
+
+    return run
+
+
+def _open_pairs(opened: DataFrame, space: Scratch) -> DataFrame:
+    """All pairs of the open texts in different classes that share a rare pair of neighbours."""
+    counts = _counts(opened)
+    rows = opened.mapInArrow(_rare_pairs(counts), "pair long, tid long, n_terms long, class long")
+    rows = space.keep(rows, "rare")
+    # Pairs that one class has for itself lead nowhere; of those with the same texts one is read.
+    met = rows.groupBy("pair").agg(
         F.count("*").alias("n"),
-        F.min("class").alias("least"),
-        F.max("class").alias("greatest"),
+        F.min("class").alias("low"),
+        F.max("class").alias("high"),
         *[F.bit_xor(F.xxhash64("tid", F.lit(seed))).alias(f"x{seed}") for seed in range(2)],
     )
-    live = live.where("least != greatest").groupBy("n", "least", "greatest", "x0", "x1")
-    live = space.keep(live.agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "live")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = (
-        classed.join(live, "bucket")
-        .join(texts.select("tid", "n_terms", "over", "bag"), "tid")
-        .withColumn("part", F.pmod(F.xxhash64("tid"), blocks).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "bucket",
-            F.least("part", "with").alias("low"),
-            F.greatest("part", "with").alias("high"),
-            "part",
-            "tid",
-            "class",
-            "n_terms",
-            "over",
-            "bag",
-        )
-    )
-    keys = ["bucket", "low", "high"]
-    members = members.repartition(*keys).sortWithinPartitions(*keys)
-    return members.mapInArrow(_bag_pairs, "a long, b long").distinct()
+    met = met.where("low != high").groupBy("n", "low", "high", "x0", "x1").agg(F.min("pair").alias("pair"))
+    rows = space.keep(rows.join(space.keep(met.select("pair"), "met"), "pair", "left_semi"), "partners")
+    left, right = (rows.toDF("pair", side, f"size_{side}", f"class_{side}") for side in ("a", "b"))
+    fits = (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & _may_link("size_a", "size_b")
+    return left.join(right, "pair").where(fits).select("a", "b").distinct()
 
 
 def _id_key(doc_id: str) -> Column:
@@ -367,8 +375,6 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     keyed = _keyed(docs, doc_id, text)
     fields = [
         T.StructField("n_terms", T.LongType()),
-        T.StructField("over", T.LongType()),
-        T.StructField("bag", T.BinaryType()),
         T.StructField("sketches", T.ArrayType(T.LongType())),
     ]
     sketched = append_columns(keyed, "text", fields, order_minhash, ["doc_id", "text_key", "id_key"])
@@ -387,8 +393,8 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
         ),
         "texts",
     )
-    buckets = texts.select("tid", F.explode("sketches").alias("bucket"))
-    sizes = texts.select("tid", "n_terms")
+    shared = _shared(texts.select("tid", "n_terms", F.explode("sketches").alias("bucket")), space)
+    terms = _terms(keyed, texts, shared.select("tid").distinct(), space)
     spark = docs.sparkSession
     done: list[str] = []
     stars = None
@@ -405,40 +411,54 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
             pairs = pairs.where(apart).select("a", "b")
             pairs = pairs.join(spark.read.parquet(*done).select("a", "b"), ["a", "b"], "left_anti")
         pairs = space.keep(pairs, f"pairs-{name}")
-        aligned = space.keep(_aligned(keyed, texts, pairs, space, name), f"aligned-{name}")
+        both = pairs.join(terms.toDF("a", "terms_a"), "a").join(terms.toDF("b", "terms_b"), "b")
+        aligned = space.keep(both.mapInArrow(_align, "a long, b long, similarity double"), f"aligned-{name}")
         done.append(f"{space.path}/aligned-{name}")
         links = aligned.where("similarity IS NOT NULL").select("a", "b")
         # A class so far is a star; with the new links it gives what all links would.
         stars = components(links if stars is None else links.union(stars), space, f"stars-{name}")
 
-    shared = _shared(buckets, space)
-    found = space.keep(_pivot_pairs(shared, sizes), "found")
+    test(_best_pivots(shared, 0))
+    rest = _open(shared, stars, space, "0")
+    for turn in range(1, PIVOT_ROUNDS):
+        # A pivot of the text's own class settles nothing.
+        pivot = stars.toDF("pivot", "pivot_least")
+        other = rest.withColumn("pivot", F.col("pivots")[turn]["tid"]).join(pivot, "pivot", "left")
+        other = other.where(F.coalesce("pivot_least", "pivot") != F.col("class"))
+        test(_best_pivots(other, turn))
+        rest = _open(rest.select(*shared.columns), stars, space, f"{turn}")
+    opened = rest.select("tid", "n_terms", "class").distinct().join(terms, "tid")
+    found = space.keep(_open_pairs(space.keep(opened, "opened"), space), "open")
     # One pair of each text settles most classes; of the rest only pairs across classes count.
     test(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     test(found)
-    rest = space.keep(_open_pairs(shared, texts, stars, space), "open")
-    tested = spark.read.parquet(*done).select("a", "b")
-    fresh = rest.join(tested, ["a", "b"], "left_anti")
-    test(fresh.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    test(rest)
     return (
         texts.join(stars.toDF("tid", "least"), "tid", "left")
         .select("text_key", "doc_id", "id_key", F.coalesce("least", "tid").alias("class_key"))
     )
 
 
-def _aligned(
-    keyed: DataFrame, texts: DataFrame, pairs: DataFrame, space: Scratch, name: str
-) -> DataFrame:
-    """The pairs with their similarity, null where it is below the threshold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-    needed = texts.join(needed, "tid", "left_semi").select("tid", "text_key", "id_key")
-    # A text is taken from its first document; copies of that row are equal, so any one serves.
-    read = keyed.select("text_key", "id_key", "text").join(needed, ["text_key", "id_key"])
-    read = read.dropDuplicates(["text_key", "id_key"]).select("tid", "text")
-    read = space.keep(read, f"read-{name}")
-    both = pairs.join(read.toDF("a", "text_a"), "a").join(read.toDF("b", "text_b"), "b")
-    return both.mapInArrow(_align, "a long, b long, similarity double")
+def _term_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start, texts in text_slices(batch.column("text")):
+            terms, at = term_hashes(texts)
+            blobs = [terms[at[row] : at[row + 1]].tobytes() for row in range(len(texts))]
+            columns = [batch.column("tid").slice(start, len(texts)), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["tid", "terms"])
+
+
+def _terms(keyed: DataFrame, texts: DataFrame, wanted: DataFrame, space: Scratch) -> DataFrame:
+    """tid and the hashes of the terms of the wanted texts, each read from its first document.
+
+    A bit map of the wanted ones keeps most other texts out of the shuffle.
+    """
+    needed = space.keep(texts.join(wanted, "tid", "left_semi").select("tid", "text_key", "id_key"), "needed")
+    key = F.xxhash64("text_key", "id_key")
+    known = bit_map(needed.select(key.alias("key")), FILTER_WORDS, space, "needed-bits")
+    likely = marked(keyed.select("text_key", "id_key", "text"), key, known, FILTER_WORDS, "likely").where("likely")
+    # Repeated rows are equal, so any one serves.
+    read = likely.join(needed, ["text_key", "id_key"]).dropDuplicates(["text_key", "id_key"])
+    return space.keep(read.select("tid", "text").mapInArrow(_term_blobs, "tid long, terms binary"), "terms")
 
 
 # --- results --------------------------------------------------------------------------------
