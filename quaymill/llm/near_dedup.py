@@ -61,6 +61,8 @@ LONG_SHINGLE = 3
 PIVOT_ROUNDS = 2
 # How rare a pair of terms is, is told by this many counters over hashes. They only set the order.
 COUNTERS = 1 << 20
+# Of the pairs two linked texts surely share, one in so many is looked for among the rarest.
+RARE_SHARE = 3
 # Words of the broadcast bit map that tells which texts are read again.
 FILTER_WORDS = 1 << 16
 
@@ -278,6 +280,17 @@ def least_common_pairs(n_terms: int) -> int:
     return min(n - 1 - 2 * (n // 5) for n in (n_terms, -(-n_terms // 5) * 5))
 
 
+def rare_prefix(n_terms: int) -> tuple[int, int]:
+    """How many of a text's rarest pairs are compared, and how many of them a partner must share.
+
+    If two sets have c elements in common, then of their first size - c + s elements, in an order
+    common to both, they share s at least.
+    """
+    common = least_common_pairs(n_terms)
+    shared = max(1, common // RARE_SHARE)
+    return max(n_terms - 1, 1) - common + shared, shared
+
+
 def _neighbour_pairs(terms: np.ndarray) -> np.ndarray:
     runs = shingle_hashes(terms, 2)
     return _labelled(runs, np.zeros(len(runs), np.int64))
@@ -307,49 +320,58 @@ def _counts(opened: DataFrame) -> np.ndarray:
 
 
 def _rare_pairs(counts: np.ndarray):
-    """Rows (pair, tid, n_terms, class): the rarest labelled pairs of each text.
+    """Rows (pair, tid, n_terms, class, needed): the rarest labelled pairs of each text.
 
     Pairs are ordered by counter and hash, in one order for all texts. A pair that no other text
-    has a counter in common with can have no partner and is left out.
+    has a counter in common with can have no partner and is left out. ``needed`` is how many a
+    partner must share.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, sizes = [], []
+            found, sizes, needed = [], [], []
             for blob in batch.column("terms").to_pylist():
                 terms = np.frombuffer(blob, np.uint64)
                 pairs = _neighbour_pairs(terms)
                 counted = counts[_place(pairs)]
-                rarest = np.lexsort((pairs, counted))[: len(pairs) - least_common_pairs(len(terms)) + 1]
+                compared, shared = rare_prefix(len(terms))
+                rarest = np.lexsort((pairs, counted))[:compared]
                 rarest = pairs[rarest[counted[rarest] > 1]]
                 found.append(rarest)
                 sizes.append(len(rarest))
+                needed.append(shared)
             rows = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
             columns = [pa.array(np.concatenate(found).view(np.int64))] if found else [pa.array([], pa.int64())]
             names = ["tid", "n_terms", "class"]
             columns += [batch.column(name).take(rows) for name in names]
-            yield pa.RecordBatch.from_arrays(columns, ["pair", *names])
+            columns.append(pa.array(np.repeat(np.array(needed, np.int64), sizes)))
+            yield pa.RecordBatch.from_arrays(columns, ["pair", *names, "needed"])
 
     return run
 
 
 def _open_pairs(opened: DataFrame, space: Scratch) -> DataFrame:
-    """All pairs of the open texts in different classes that share a rare pair of neighbours."""
+    """All pairs of the open texts in different classes that share as many rare pairs as links do."""
     counts = _counts(opened)
-    rows = opened.mapInArrow(_rare_pairs(counts), "pair long, tid long, n_terms long, class long")
+    rows = opened.mapInArrow(_rare_pairs(counts), "pair long, tid long, n_terms long, class long, needed long")
     rows = space.keep(rows, "rare")
-    # Pairs that one class has for itself lead nowhere; of those with the same texts one is read.
+    # Pairs that one class has for itself lead nowhere; those with the same texts are read as one.
     met = rows.groupBy("pair").agg(
         F.count("*").alias("n"),
         F.min("class").alias("low"),
         F.max("class").alias("high"),
         *[F.bit_xor(F.xxhash64("tid", F.lit(seed))).alias(f"x{seed}") for seed in range(2)],
     )
-    met = met.where("low != high").groupBy("n", "low", "high", "x0", "x1").agg(F.min("pair").alias("pair"))
-    rows = space.keep(rows.join(space.keep(met.select("pair"), "met"), "pair", "left_semi"), "partners")
-    left, right = (rows.toDF("pair", side, f"size_{side}", f"class_{side}") for side in ("a", "b"))
+    met = met.where("low != high").groupBy("n", "low", "high", "x0", "x1")
+    met = space.keep(met.agg(F.min("pair").alias("pair"), F.count("*").alias("alike")).select("pair", "alike"), "met")
+    rows = space.keep(rows.join(met, "pair"), "partners")
+    left = rows.toDF("pair", "a", "size_a", "class_a", "needed_a", "alike")
+    right = rows.drop("alike").toDF("pair", "b", "size_b", "class_b", "needed_b")
     fits = (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & _may_link("size_a", "size_b")
-    return left.join(right, "pair").where(fits).select("a", "b").distinct()
+    shared = left.join(right, "pair").where(fits).groupBy("a", "b").agg(
+        F.sum("alike").alias("shared"), F.max(F.least("needed_a", "needed_b")).alias("needed")
+    )
+    return shared.where("shared >= needed").select("a", "b")
 
 
 def _id_key(doc_id: str) -> Column:
