@@ -6,15 +6,14 @@ labelled runs with the smallest hashes; these runs in text order are the sketch,
 share it with a probability that falls with their edit distance. Texts of up to SHORT terms are
 also sketched on pairs of terms, of which an edit breaks fewer.
 
-Candidates. Texts with a sketch in common form a bucket. In PIVOT_ROUNDS rounds each text is tested
-with one pivot, of all pivots of its buckets that may be linked to it by length that which shares
-most buckets with it; from the second round on, only texts whose buckets hold another class and
-pivots of that class count. Then what is still open is settled exactly: all pairs of texts of open
-buckets that are in different classes and can be linked. Within an edit distance of 20 % of
-n terms, the longer text, at least n - 1 - 2 * floor(n / 5) occurrence-labelled pairs of neighbouring
-terms stay common, so two such texts share one of their rarest pairs, as many as each may lose and
-one more. A join on these rare pairs therefore loses no link, and a passage that many texts hold is
-not among them unless it is most of a text. There is no cap on buckets, partners or candidates.
+Candidates. Texts with a sketch in common form a bucket. In rounds each text is tested with a few pivots, of all
+that are drawn from its buckets and that length allows those which share most buckets with it; in a
+bucket whose texts are in one class nothing is left to do. Then what is still open is settled: the texts
+of a bucket that are not in its largest class are a query set, which is compared with all texts of
+the bucket in blocks. Of two linked texts the longer one, of n terms, loses floor(n / 5) terms at most,
+so both have n - floor(n / 5) in common; their counts over hashed terms, two cells to a term,
+tell which pairs can. Only these leave the block. There is no cap on buckets, partners or
+candidates.
 
 Decision. Two texts are linked if the edit distance of their term sequences is at most 20 % of
 the longer one. It is computed exactly within that band, bit-parallel over the band's width, after
@@ -58,11 +57,13 @@ SHORT_SHINGLE = 2
 # Of runs of three enough stay whole at a similarity of 0.8, of runs of five they do not.
 LONG_SHINGLE = 3
 
-PIVOT_ROUNDS = 2
-# How rare a pair of terms is, is told by this many counters over hashes. They only set the order.
-COUNTERS = 1 << 20
-# Of the pairs two linked texts surely share, one in so many is looked for among the rarest.
-RARE_SHARE = 3
+# Pivots per text and bucket in each round.
+PIVOTS = (1, 8)
+# Texts of a bucket that are compared with its query set at once.
+BLOCK = 512
+# Cells of the counts of a text, as a power of two, at least.
+LEAST_CELLS = 8
+FULL = 65_535
 # Words of the broadcast bit map that tells which texts are read again.
 FILTER_WORDS = 1 << 16
 
@@ -235,31 +236,35 @@ def _may_link(left: str, right: str) -> Column:
 
 
 def _shared(buckets: DataFrame, space: Scratch) -> DataFrame:
-    """Rows (bucket, tid, n_terms, pivots) of the buckets with several texts; a pivot per round.
+    """Rows (bucket, tid, n_terms) of the buckets with several texts.
 
-    The first pivot of a bucket is its least text, the others are the least by hashes. They fold
-    before the shuffle and are written, so that they share no stage with the join and adaptive
-    execution can split it where a bucket holds very many texts.
+    Counts fold before the shuffle and are written, so that they share no stage with the join and
+    adaptive execution can split it where a bucket holds very many texts.
     """
-    orders = [F.col("tid"), *[F.xxhash64(F.lit(turn), F.col("tid")) for turn in range(1, PIVOT_ROUNDS)]]
-    folds = [F.min_by(F.col(name), order).alias(f"{name}_{turn}") for turn, order in enumerate(orders) for name in ("tid", "n_terms")]
-    found = buckets.groupBy("bucket").agg(F.count("*").alias("texts"), *folds).where("texts > 1")
-    pivots = [
-        F.struct(F.col(f"tid_{turn}").alias("tid"), F.col(f"n_terms_{turn}").alias("n_terms"))
-        for turn in range(PIVOT_ROUNDS)
-    ]
-    found = space.keep(found.select("bucket", F.array(*pivots).alias("pivots")), "pivots")
-    return space.keep(buckets.join(found, "bucket").select("bucket", "tid", "n_terms", "pivots"), "shared")
+    found = buckets.groupBy("bucket").agg(F.count("*").alias("texts")).where("texts > 1")
+    found = space.keep(found.select("bucket"), "buckets")
+    return space.keep(buckets.join(found, "bucket"), "shared")
+
 
+def _best_pivots(rows: DataFrame, turn: int, space: Scratch) -> DataFrame:
+    """Pairs (a, b): each text with up to PIVOTS[turn] pivots, those that stand in most of its buckets.
 
-def _best_pivots(shared: DataFrame, turn: int) -> DataFrame:
-    """One pair (a, b) per text at most: with the pivot that stands in most of its buckets."""
-    pairs = shared.select("tid", "n_terms", F.col("pivots")[turn].alias("pivot"))
-    pairs = pairs.select("tid", "n_terms", F.col("pivot.tid").alias("pivot"), F.col("pivot.n_terms").alias("size"))
-    pairs = pairs.where((F.col("tid") != F.col("pivot")) & _may_link("n_terms", "size"))
-    counted = pairs.groupBy("tid", "pivot").agg(F.count("*").alias("n"))
-    best = counted.groupBy("tid").agg(F.max_by("pivot", "n").alias("pivot"))
-    return best.select(F.least("tid", "pivot").alias("a"), F.greatest("tid", "pivot").alias("b")).distinct()
+    As many pivots are drawn of each bucket, by hash. Pivots of the text's own class settle
+    nothing, and pivots whose length forbids a link are no pivots of that text.
+    """
+    width = PIVOTS[turn]
+    drawn = [F.min_by(F.struct("tid", "n_terms", "class"), F.xxhash64(F.lit(place), "tid")) for place in range(width)]
+    pivots = rows.groupBy("bucket").agg(F.array(*drawn).alias("pivots"))
+    pivots = space.keep(pivots.select("bucket", F.array_distinct("pivots").alias("pivots")), f"pivots-{turn}")
+    pairs = rows.join(pivots, "bucket").withColumn("pivot", F.explode("pivots"))
+    pairs = pairs.select("tid", "n_terms", "class", F.col("pivot.tid").alias("other"), F.col("pivot.n_terms").alias("size"), F.col("pivot.class").alias("other_class"))
+    pairs = pairs.where((F.col("class") != F.col("other_class")) & _may_link("n_terms", "size"))
+    counted = pairs.groupBy("tid", "other").agg(F.count("*").alias("n"))
+    # At most width pivots for each sketch of a text.
+    ranked = F.sort_array(F.collect_list(F.struct("n", "other")), asc=False)
+    best = counted.groupBy("tid").agg(F.slice(ranked, 1, width).alias("best"))
+    best = best.select("tid", F.explode("best.other").alias("other"))
+    return best.select(F.least("tid", "other").alias("a"), F.greatest("tid", "other").alias("b")).distinct()
 
 
 def _open(shared: DataFrame, stars: DataFrame, space: Scratch, name: str) -> DataFrame:
@@ -275,103 +280,106 @@ def _open(shared: DataFrame, stars: DataFrame, space: Scratch, name: str) -> Dat
 # --- settling -------------------------------------------------------------------------------
 
 
-def least_common_pairs(n_terms: int) -> int:
-    """How many labelled pairs of neighbours a text surely shares with any longer text it is linked to."""
-    return min(n - 1 - 2 * (n // 5) for n in (n_terms, -(-n_terms // 5) * 5))
-
-
-def rare_prefix(n_terms: int) -> tuple[int, int]:
-    """How many of a text's rarest pairs are compared, and how many of them a partner must share.
-
-    If two sets have c elements in common, then of their first size - c + s elements, in an order
-    common to both, they share s at least.
-    """
-    common = least_common_pairs(n_terms)
-    shared = max(1, common // RARE_SHARE)
-    return max(n_terms - 1, 1) - common + shared, shared
-
-
-def _neighbour_pairs(terms: np.ndarray) -> np.ndarray:
-    runs = shingle_hashes(terms, 2)
-    return _labelled(runs, np.zeros(len(runs), np.int64))
-
+def term_counts(terms: np.ndarray) -> np.ndarray:
+    """How many terms fall on each cell, at most FULL; a power of two of cells, two to a term or more."""
+    bits = max(LEAST_CELLS, (max(2 * len(terms), 1) - 1).bit_length())
+    counts = np.bincount((terms >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, FULL).astype(np.uint16)
 
-def _place(pairs: np.ndarray) -> np.ndarray:
-    return (pairs >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
+def _narrow(counts: np.ndarray, cells: int) -> np.ndarray:
+    """Counts over fewer cells, rows of a matrix."""
+    return counts.reshape(len(counts), cells, -1).sum(axis=2, dtype=np.int64)
 
-def _counts(opened: DataFrame) -> np.ndarray:
-    """COUNTERS numbers: how many labelled pairs of all open texts fall on each."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                np.add.at(total, _place(_neighbour_pairs(np.frombuffer(blob, np.uint64))), 1)
-        filled = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(total[filled])], ["place", "n"])
+def most_common_terms(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Bounds from above on the terms that one text has in common with each of the others.
 
-    summed = opened.select("terms").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    # One number per counter at most.
-    found = summed.where("n > 1").toArrow()
-    counts = np.ones(COUNTERS, np.int64)
-    counts[found["place"].to_numpy()] = found["n"].to_numpy()
-    return counts
+    A cell that is full may hold any number, so it counts as no bound.
+    """
+    cells = min(len(one), others.shape[1])
+    if len(one) == others.shape[1]:
+        least = np.minimum(one, others).sum(axis=1, dtype=np.int64)
+    else:
+        least = np.minimum(_narrow(one[None], cells), _narrow(others, cells)).sum(axis=1)
+    if one.max(initial=0) == FULL:
+        full = (_narrow(one[None] == FULL, cells) > 0) & (_narrow(others == FULL, cells) > 0)
+        least += full.any(axis=1).astype(np.int64) << 40
+    return least
+
+
+def _count_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        blobs = [term_counts(np.frombuffer(blob, np.uint64)).tobytes() for blob in batch.column("terms").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("tid"), pa.array(blobs, pa.binary())], ["tid", "counts"])
 
 
-def _rare_pairs(counts: np.ndarray):
-    """Rows (pair, tid, n_terms, class, needed): the rarest labelled pairs of each text.
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of a query text and a text of its block that may be linked.
 
-    Pairs are ordered by counter and hash, in one order for all texts. A pair that no other text
-    has a counter in common with can have no partner and is left out. ``needed`` is how many a
-    partner must share.
+    Rows come sorted by (bucket, part); a block's rows may span batches.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, sizes, needed = [], [], []
-            for blob in batch.column("terms").to_pylist():
-                terms = np.frombuffer(blob, np.uint64)
-                pairs = _neighbour_pairs(terms)
-                counted = counts[_place(pairs)]
-                compared, shared = rare_prefix(len(terms))
-                rarest = np.lexsort((pairs, counted))[:compared]
-                rarest = pairs[rarest[counted[rarest] > 1]]
-                found.append(rarest)
-                sizes.append(len(rarest))
-                needed.append(shared)
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
-            columns = [pa.array(np.concatenate(found).view(np.int64))] if found else [pa.array([], pa.int64())]
-            names = ["tid", "n_terms", "class"]
-            columns += [batch.column(name).take(rows) for name in names]
-            columns.append(pa.array(np.repeat(np.array(needed, np.int64), sizes)))
-            yield pa.RecordBatch.from_arrays(columns, ["pair", *names, "needed"])
-
-    return run
-
-
-def _open_pairs(opened: DataFrame, space: Scratch) -> DataFrame:
-    """All pairs of the open texts in different classes that share as many rare pairs as links do."""
-    counts = _counts(opened)
-    rows = opened.mapInArrow(_rare_pairs(counts), "pair long, tid long, n_terms long, class long, needed long")
-    rows = space.keep(rows, "rare")
-    # Pairs that one class has for itself lead nowhere; those with the same texts are read as one.
-    met = rows.groupBy("pair").agg(
-        F.count("*").alias("n"),
-        F.min("class").alias("low"),
-        F.max("class").alias("high"),
-        *[F.bit_xor(F.xxhash64("tid", F.lit(seed))).alias(f"x{seed}") for seed in range(2)],
-    )
-    met = met.where("low != high").groupBy("n", "low", "high", "x0", "x1")
-    met = space.keep(met.agg(F.min("pair").alias("pair"), F.count("*").alias("alike")).select("pair", "alike"), "met")
-    rows = space.keep(rows.join(met, "pair"), "partners")
-    left = rows.toDF("pair", "a", "size_a", "class_a", "needed_a", "alike")
-    right = rows.drop("alike").toDF("pair", "b", "size_b", "class_b", "needed_b")
-    fits = (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & _may_link("size_a", "size_b")
-    shared = left.join(right, "pair").where(fits).groupBy("a", "b").agg(
-        F.sum("alike").alias("shared"), F.max(F.least("needed_a", "needed_b")).alias("needed")
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = (rows if rest is None else pa.concat_tables([rest, rows])).combine_chunks()
+        keys = np.stack([rows[name].to_numpy() for name in ("bucket", "part")])
+        edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        starts = [0, *edges.tolist()]
+        # The last block may go on in the next batch.
+        rest = rows.slice(starts[-1])
+        for start, end in zip(starts, starts[1:]):
+            yield from _one_block(rows.slice(start, end - start))
+    if rest is not None and len(rest):
+        yield from _one_block(rest)
+
+
+def _one_block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    tid, own, size, asks, home = (rows[name].to_numpy(zero_copy_only=False) for name in ("tid", "class", "n_terms", "asks", "home"))
+    counts = [np.frombuffer(blob, np.uint16) for blob in rows["counts"].to_pylist()]
+    cells = np.array([len(one) for one in counts])
+    lefts, rights = [], []
+    for width in np.unique(cells[home]).tolist():
+        here = np.flatnonzero(home & (cells == width))
+        others = np.stack([counts[row] for row in here])
+        for row in np.flatnonzero(asks).tolist():
+            longer = np.maximum(size[here], size[row])
+            most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+            fits = np.flatnonzero((own[here] != own[row]) & (np.abs(size[here] - size[row]) <= most))
+            if len(fits):
+                common = most_common_terms(counts[row], others[fits])
+                fits = fits[common >= longer[fits] - most[fits]]
+                lefts.append(np.full(len(fits), tid[row]))
+                rights.append(tid[here[fits]])
+    if lefts:
+        left, right = np.concatenate(lefts), np.concatenate(rights)
+        pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
+def _open_pairs(rest: DataFrame, terms: DataFrame, space: Scratch) -> DataFrame:
+    """All pairs of texts of one bucket that are in different classes and may be linked.
+
+    ``rest`` has bucket, tid, n_terms and class of the open buckets; of those with the same texts
+    one is read. The query set of a bucket is sent to each of its blocks, its other texts to one.
+    """
+    same = rest.groupBy("bucket").agg(
+        F.count("*").alias("texts"), *[F.bit_xor(F.xxhash64("tid", F.lit(seed))).alias(f"x{seed}") for seed in range(2)]
     )
-    return shared.where("shared >= needed").select("a", "b")
+    same = same.groupBy("texts", "x0", "x1").agg(F.min("bucket").alias("bucket"))
+    per_class = rest.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+    largest = per_class.groupBy("bucket").agg(F.max_by("class", "n").alias("main"))
+    buckets = space.keep(same.join(largest, "bucket").select("bucket", "texts", "main"), "settled")
+    counts = rest.select("tid").distinct().join(terms, "tid").mapInArrow(_count_blobs, "tid long, counts binary")
+    counts = space.keep(counts, "counts")
+    parts = F.ceil(F.col("texts") / BLOCK).cast("int")
+    asks, home = F.col("class") != F.col("main"), F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int")
+    placed = rest.join(buckets, "bucket").withColumn("parts", parts).withColumns({"asks": asks, "own_part": home})
+    places = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own_part"))
+    placed = placed.withColumn("part", F.explode(places)).withColumn("home", F.col("part") == F.col("own_part"))
+    rows = placed.select("bucket", "part", "tid", "class", "n_terms", "asks", "home").join(counts, "tid")
+    blocks = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return blocks.mapInArrow(_block_pairs, "a long, b long").distinct()
 
 
 def _id_key(doc_id: str) -> Column:
@@ -440,17 +448,11 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
         # A class so far is a star; with the new links it gives what all links would.
         stars = components(links if stars is None else links.union(stars), space, f"stars-{name}")
 
-    test(_best_pivots(shared, 0))
-    rest = _open(shared, stars, space, "0")
-    for turn in range(1, PIVOT_ROUNDS):
-        # A pivot of the text's own class settles nothing.
-        pivot = stars.toDF("pivot", "pivot_least")
-        other = rest.withColumn("pivot", F.col("pivots")[turn]["tid"]).join(pivot, "pivot", "left")
-        other = other.where(F.coalesce("pivot_least", "pivot") != F.col("class"))
-        test(_best_pivots(other, turn))
+    rest = shared.withColumn("class", F.col("tid"))
+    for turn in range(len(PIVOTS)):
+        test(_best_pivots(rest, turn, space))
         rest = _open(rest.select(*shared.columns), stars, space, f"{turn}")
-    opened = rest.select("tid", "n_terms", "class").distinct().join(terms, "tid")
-    found = space.keep(_open_pairs(space.keep(opened, "opened"), space), "open")
+    found = space.keep(_open_pairs(rest, terms, space), "open")
     # One pair of each text settles most classes; of the rest only pairs across classes count.
     test(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     test(found)
