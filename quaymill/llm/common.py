@@ -13,7 +13,7 @@ from quaymill.sources.workspace import Scratch
 
 SHINGLE_WORDS = 5
 # Text bytes worked on at once, so that a batch of very long texts fits in a Python worker.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)

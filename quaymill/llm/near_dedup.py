@@ -216,13 +216,15 @@ def alignment_similarity(left: np.ndarray, right: np.ndarray, least: float) -> f
     return None if distance is None else 1 - distance / longer
 
 
+def _arrays(blobs: pa.Array, kind: type) -> Iterator[np.ndarray]:
+    """Each binary value as an array, without a copy."""
+    return (np.frombuffer(blob.as_buffer(), kind) for blob in blobs)
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        both = (batch.column(name).to_pylist() for name in ("terms_a", "terms_b"))
-        similarity = [
-            alignment_similarity(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), SIMILARITY)
-            for a, b in zip(*both)
-        ]
+        pairs = zip(_arrays(batch.column("terms_a"), np.uint64), _arrays(batch.column("terms_b"), np.uint64))
+        similarity = [alignment_similarity(a, b, SIMILARITY) for a, b in pairs]
         columns = [batch.column("a"), batch.column("b"), pa.array(similarity, pa.float64())]
         yield pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity"])
 
@@ -310,7 +312,7 @@ def most_common_terms(one: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 def _count_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        blobs = [term_counts(np.frombuffer(blob, np.uint64)).tobytes() for blob in batch.column("terms").to_pylist()]
+        blobs = [term_counts(terms).tobytes() for terms in _arrays(batch.column("terms"), np.uint64)]
         yield pa.RecordBatch.from_arrays([batch.column("tid"), pa.array(blobs, pa.binary())], ["tid", "counts"])
 
 
@@ -319,24 +321,27 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Rows come sorted by (bucket, part); a block's rows may span batches.
     """
-    rest = None
+    rest, key = [], None
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = (rows if rest is None else pa.concat_tables([rest, rows])).combine_chunks()
-        keys = np.stack([rows[name].to_numpy() for name in ("bucket", "part")])
+        keys = np.stack([batch.column(name).to_numpy() for name in ("bucket", "part")])
         edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        starts = [0, *edges.tolist()]
-        # The last block may go on in the next batch.
-        rest = rows.slice(starts[-1])
+        starts = [0, *edges.tolist(), batch.num_rows]
         for start, end in zip(starts, starts[1:]):
-            yield from _one_block(rows.slice(start, end - start))
-    if rest is not None and len(rest):
+            if start < end:
+                if rest and key != tuple(keys[:, start]):
+                    yield from _one_block(rest)
+                    rest = []
+                # The last block may go on in the next batch.
+                key = tuple(keys[:, start])
+                rest.append(batch.slice(start, end - start))
+    if rest:
         yield from _one_block(rest)
 
 
-def _one_block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+def _one_block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = pa.Table.from_batches(parts)
     tid, own, size, asks, home = (rows[name].to_numpy(zero_copy_only=False) for name in ("tid", "class", "n_terms", "asks", "home"))
-    counts = [np.frombuffer(blob, np.uint16) for blob in rows["counts"].to_pylist()]
+    counts = [one for chunk in rows["counts"].chunks for one in _arrays(chunk, np.uint16)]
     cells = np.array([len(one) for one in counts])
     lefts, rights = [], []
     for width in np.unique(cells[home]).tolist():
