@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quaymill.llm.common import (
+    SLICE_BYTES,
     append_columns,
     bit_map,
     marked,
@@ -59,8 +60,10 @@ LONG_SHINGLE = 3
 
 # Pivots per text and bucket in each round.
 PIVOTS = (1, 8)
-# Texts of a bucket that are compared with its query set at once.
-BLOCK = 512
+# Terms of a bucket's texts that are compared with its query set at once; a text counts as
+# SMALLEST terms at least. Their counts take 8 bytes a term at most.
+BLOCK_TERMS = 1 << 21
+SMALLEST = 128
 # Cells of the counts of a text, as a power of two, at least.
 LEAST_CELLS = 8
 FULL = 65_535
@@ -352,7 +355,10 @@ def _one_block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
             fits = np.flatnonzero((own[here] != own[row]) & (np.abs(size[here] - size[row]) <= most))
             if len(fits):
-                common = most_common_terms(counts[row], others[fits])
+                at_once = max(1, SLICE_BYTES // (2 * width))
+                common = np.concatenate(
+                    [most_common_terms(counts[row], others[fits[n : n + at_once]]) for n in range(0, len(fits), at_once)]
+                )
                 fits = fits[common >= longer[fits] - most[fits]]
                 lefts.append(np.full(len(fits), tid[row]))
                 rights.append(tid[here[fits]])
@@ -368,16 +374,17 @@ def _open_pairs(rest: DataFrame, terms: DataFrame, space: Scratch) -> DataFrame:
     ``rest`` has bucket, tid, n_terms and class of the open buckets; of those with the same texts
     one is read. The query set of a bucket is sent to each of its blocks, its other texts to one.
     """
+    terms_in = F.sum(F.greatest("n_terms", F.lit(SMALLEST)))
     same = rest.groupBy("bucket").agg(
-        F.count("*").alias("texts"), *[F.bit_xor(F.xxhash64("tid", F.lit(seed))).alias(f"x{seed}") for seed in range(2)]
+        terms_in.alias("terms_in"), *[F.bit_xor(F.xxhash64("tid", F.lit(seed))).alias(f"x{seed}") for seed in range(2)]
     )
-    same = same.groupBy("texts", "x0", "x1").agg(F.min("bucket").alias("bucket"))
+    same = same.groupBy("terms_in", "x0", "x1").agg(F.min("bucket").alias("bucket"))
     per_class = rest.groupBy("bucket", "class").agg(F.count("*").alias("n"))
     largest = per_class.groupBy("bucket").agg(F.max_by("class", "n").alias("main"))
-    buckets = space.keep(same.join(largest, "bucket").select("bucket", "texts", "main"), "settled")
+    buckets = space.keep(same.join(largest, "bucket").select("bucket", "terms_in", "main"), "settled")
     counts = rest.select("tid").distinct().join(terms, "tid").mapInArrow(_count_blobs, "tid long, counts binary")
     counts = space.keep(counts, "counts")
-    parts = F.ceil(F.col("texts") / BLOCK).cast("int")
+    parts = F.ceil(F.col("terms_in") / BLOCK_TERMS).cast("int")
     asks, home = F.col("class") != F.col("main"), F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int")
     placed = rest.join(buckets, "bucket").withColumn("parts", parts).withColumns({"asks": asks, "own_part": home})
     places = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own_part"))
@@ -457,10 +464,7 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     for turn in range(len(PIVOTS)):
         test(_best_pivots(rest, turn, space))
         rest = _open(rest.select(*shared.columns), stars, space, f"{turn}")
-    found = space.keep(_open_pairs(rest, terms, space), "open")
-    # One pair of each text settles most classes; of the rest only pairs across classes count.
-    test(found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    test(found)
+    test(_open_pairs(rest, terms, space))
     return (
         texts.join(stars.toDF("tid", "least"), "tid", "left")
         .select("text_key", "doc_id", "id_key", F.coalesce("least", "tid").alias("class_key"))
