@@ -322,7 +322,7 @@ def _count_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of a query text and a text of its block that may be linked.
 
-    Rows come sorted by (bucket, part); a block's rows may span batches.
+    A pair that meets in several buckets comes from the least of them. Rows come sorted by (bucket, part); a block's rows may span batches.
     """
     rest, key = [], None
     for batch in batches:
@@ -346,6 +346,9 @@ def _one_block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tid, own, size, asks, home = (rows[name].to_numpy(zero_copy_only=False) for name in ("tid", "class", "n_terms", "asks", "home"))
     counts = [one for chunk in rows["counts"].chunks for one in _arrays(chunk, np.uint16)]
     cells = np.array([len(one) for one in counts])
+    # At most one bucket for each sketch of a text.
+    buckets = [frozenset(found) for found in rows["buckets"].to_pylist()]
+    bucket = rows["bucket"][0].as_py()
     lefts, rights = [], []
     for width in np.unique(cells[home]).tolist():
         here = np.flatnonzero(home & (cells == width))
@@ -360,6 +363,7 @@ def _one_block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [most_common_terms(counts[row], others[fits[n : n + at_once]]) for n in range(0, len(fits), at_once)]
                 )
                 fits = fits[common >= longer[fits] - most[fits]]
+                fits = fits[np.array([bucket == min(buckets[row] & buckets[other]) for other in here[fits].tolist()], bool)]
                 lefts.append(np.full(len(fits), tid[row]))
                 rights.append(tid[here[fits]])
     if lefts:
@@ -382,11 +386,13 @@ def _open_pairs(rest: DataFrame, terms: DataFrame, space: Scratch) -> DataFrame:
     per_class = rest.groupBy("bucket", "class").agg(F.count("*").alias("n"))
     largest = per_class.groupBy("bucket").agg(F.max_by("class", "n").alias("main"))
     buckets = space.keep(same.join(largest, "bucket").select("bucket", "terms_in", "main"), "settled")
-    counts = rest.select("tid").distinct().join(terms, "tid").mapInArrow(_count_blobs, "tid long, counts binary")
-    counts = space.keep(counts, "counts")
+    inside = rest.join(buckets, "bucket")
+    lists = space.keep(inside.groupBy("tid").agg(F.collect_list("bucket").alias("buckets")), "lists")
+    counts = lists.select("tid").join(terms, "tid").mapInArrow(_count_blobs, "tid long, counts binary")
+    counts = space.keep(counts.join(lists, "tid"), "counts")
     parts = F.ceil(F.col("terms_in") / BLOCK_TERMS).cast("int")
     asks, home = F.col("class") != F.col("main"), F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int")
-    placed = rest.join(buckets, "bucket").withColumn("parts", parts).withColumns({"asks": asks, "own_part": home})
+    placed = inside.withColumn("parts", parts).withColumns({"asks": asks, "own_part": home})
     places = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own_part"))
     placed = placed.withColumn("part", F.explode(places)).withColumn("home", F.col("part") == F.col("own_part"))
     rows = placed.select("bucket", "part", "tid", "class", "n_terms", "asks", "home").join(counts, "tid")
