@@ -6,7 +6,7 @@ labelled runs with the smallest hashes; these runs in text order are the sketch,
 share it with a probability that falls with their edit distance. Texts of up to SHORT terms are
 also sketched on pairs of terms, of which an edit breaks fewer.
 
-Candidates. Texts with a sketch in common form a bucket. First each text is tested with one pivot, of all
+Candidates. Texts with a sketch in common form a bucket. First each text is tested with up to four pivots, of all
 that are drawn from its buckets and that length allows those which share most buckets with it; in a
 bucket whose texts are in one class nothing is left to do. Then what is still open is settled: the texts
 of a bucket that are not in its largest class are a query set, which is compared with all texts of
@@ -59,7 +59,7 @@ SHORT_SHINGLE = 2
 LONG_SHINGLE = 3
 
 # Pivots per text and bucket in each round; a second round costs more than it settles.
-PIVOTS = (1,)
+PIVOTS = (4,)
 # Terms of a bucket's texts that are compared with its query set at once; a text counts as
 # SMALLEST terms at least. Their counts take 8 bytes a term at most.
 BLOCK_TERMS = 1 << 21
