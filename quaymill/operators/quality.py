@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,6 +15,41 @@ class Rule:
     fails: Column
 
 
+@dataclass(frozen=True)
+class Range:
+    """Where values must lie, as data: ends are numbers or names of columns of the same row.
+
+    A range without ends only says whether a value must be there. A null end limits nothing.
+    """
+
+    least: float | str | None = None
+    above: float | str | None = None
+    most: float | str | None = None
+    required: bool = False
+
+
+def any_outside(values: list[Column], limit: Range) -> Column:
+    """Whether one of the values is outside; a missing one is only if it is required.
+
+    NaN sorts above every number in Spark, so it is outside of a range with an upper end.
+    """
+
+    def end(given: float | str) -> Column:
+        return F.col(given) if isinstance(given, str) else F.lit(given)
+
+    def outside(value: Column) -> Column:
+        broken = F.lit(False)
+        if limit.least is not None:
+            broken = broken | (value < end(limit.least))
+        if limit.above is not None:
+            broken = broken | (value <= end(limit.above))
+        if limit.most is not None:
+            broken = broken | (value > end(limit.most))
+        return F.when(value.isNull(), F.lit(limit.required)).otherwise(F.coalesce(broken, F.lit(False)))
+
+    return reduce(operator.or_, map(outside, values))
+
+
 REASON = "reject_reason"
 
 

@@ -129,19 +129,14 @@ def daily(spark, *rows):
     return spark.createDataFrame(list(rows), "pickup_date string, total_revenue double")
 
 
-def test_second_upsert_of_the_same_keys_updates(spark, lake):
-    old, new = (
-        daily(spark, ("2024-03-01", first), ("2024-03-02", second))
-        for first, second in ((10.0, 20.0), (15.0, 25.0))
-    )
-    first = lake.upsert("d", old, ["pickup_date"])
-    assert tuple(first) == (2, 0)
-    second = lake.upsert("d", new, ["pickup_date"])
-    assert tuple(second) == (0, 2)
-    assert rows_of(lake.read("d")) == [("2024-03-01", 15.0), ("2024-03-02", 25.0)]
-    latest = lake.latest_write("d").first()
-    assert (latest.version, latest.operation) == (1, "MERGE")
-    assert (latest.rows_inserted, latest.rows_updated) == (0, 2)
+def test_upserting_known_keys_again_adds_no_row(spark, lake):
+    keys = [f"2021-0{n}-1{n}" for n in range(1, 6)]
+    assert tuple(lake.upsert("d", daily(spark, *[(key, 3.5) for key in keys]), ["pickup_date"])) == (5, 0)
+    assert tuple(lake.upsert("d", daily(spark, *[(key, -1.25) for key in keys[1:4]]), ["pickup_date"])) == (0, 3)
+    want = [(key, -1.25 if key in keys[1:4] else 3.5) for key in keys]
+    assert rows_of(lake.read("d")) == want
+    log = rows_of(lake.history("d"), "version", "operation", "rows_inserted", "rows_updated")
+    assert log == [(0, "MERGE", 5, 0), (1, "MERGE", 0, 3)]
 
 
 def test_upsert_matches_null_keys_and_deletes_nothing(spark, lake):

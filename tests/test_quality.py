@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaymill import trips as taxi
-from quaymill.operators.quality import passed, reason_histogram, rejected
+from quaymill.operators.quality import Range, any_outside, passed, reason_histogram, rejected
 
 SCHEMA = (
     "trip string, pickup string, dropoff string, source_month string, trip_distance double, "
@@ -14,38 +14,38 @@ SCHEMA = (
     "DOLocationID int"
 )
 GOOD = {
-    "pickup": "2024-03-01 08:00:00",
-    "dropoff": "2024-03-01 08:20:00",
-    "source_month": "2024-03",
-    "trip_distance": 2.5,
-    "fare_amount": 10.0,
-    "total_amount": 15.0,
-    "passenger_count": 1,
-    "PULocationID": 1,
-    "DOLocationID": 132,
+    "pickup": "2022-11-30 23:41:07",
+    "dropoff": "2022-12-01 00:03:52",
+    "source_month": "2022-11",
+    "trip_distance": 7.31,
+    "fare_amount": 23.6,
+    "total_amount": 31.15,
+    "passenger_count": 3,
+    "PULocationID": 48,
+    "DOLocationID": 230,
 }
 
 CASES = [
     ("valid", {}, None),
     ("pickup missing", {"pickup": None}, "null_pickup_or_dropoff"),
     ("dropoff missing", {"dropoff": None}, "null_pickup_or_dropoff"),
-    ("dropoff before pickup", {"dropoff": "2024-03-01 07:59:59"}, "dropoff_not_after_pickup"),
-    ("dropoff equals pickup", {"dropoff": "2024-03-01 08:00:00"}, "dropoff_not_after_pickup"),
+    ("dropoff before pickup", {"dropoff": "2022-11-30 23:41:06"}, "dropoff_not_after_pickup"),
+    ("dropoff equals pickup", {"dropoff": "2022-11-30 23:41:07"}, "dropoff_not_after_pickup"),
     (
         "other month",
-        {"pickup": "2024-02-15 08:00:00", "dropoff": "2024-02-15 08:20:00"},
+        {"pickup": "2022-12-01 00:00:00"},
         "pickup_outside_source_month",
     ),
     ("no month", {"source_month": None}, None),
-    ("exactly a day", {"dropoff": "2024-03-02 08:00:00"}, None),
-    ("a day and a fraction", {"dropoff": "2024-03-02 08:00:00.9"}, None),
-    ("a day and a second", {"dropoff": "2024-03-02 08:00:01"}, "duration_over_24h"),
+    ("exactly a day", {"dropoff": "2022-12-01 23:41:07"}, None),
+    ("a day and a fraction", {"dropoff": "2022-12-01 23:41:07.9"}, None),
+    ("a day and a second", {"dropoff": "2022-12-01 23:41:08"}, "duration_over_24h"),
     ("no distance", {"trip_distance": None}, "invalid_distance"),
     ("zero distance", {"trip_distance": 0.0}, "invalid_distance"),
     ("distance at the limit", {"trip_distance": 200.0}, None),
     ("distance past the limit", {"trip_distance": 200.01}, "invalid_distance"),
     ("distance not a number", {"trip_distance": float("nan")}, "invalid_distance"),
-    ("negative fare", {"fare_amount": -1.0}, "negative_fare_or_total"),
+    ("negative fare", {"fare_amount": -0.3}, "negative_fare_or_total"),
     ("negative total", {"total_amount": -0.01}, "negative_fare_or_total"),
     ("zero fare", {"fare_amount": 0.0}, None),
     ("fare missing", {"fare_amount": None}, None),
@@ -60,15 +60,15 @@ CASES = [
     ("nine passengers", {"passenger_count": 9}, None),
     ("ten passengers", {"passenger_count": 10}, "invalid_passenger_count"),
     ("minus one passenger", {"passenger_count": -1}, "invalid_passenger_count"),
-    ("unknown pickup", {"PULocationID": 999}, "unknown_pickup_zone"),
+    ("unknown pickup", {"PULocationID": 49}, "unknown_pickup_zone"),
     ("pickup zone missing", {"PULocationID": None}, "unknown_pickup_zone"),
-    ("unknown dropoff", {"DOLocationID": 999}, "unknown_dropoff_zone"),
+    ("unknown dropoff", {"DOLocationID": 23}, "unknown_dropoff_zone"),
     (
         "first rule wins",
-        {"pickup": None, "trip_distance": 0.0, "fare_amount": -1.0},
+        {"dropoff": None, "passenger_count": 77, "DOLocationID": None},
         "null_pickup_or_dropoff",
     ),
-    ("later rules in order", {"passenger_count": 10, "PULocationID": 999}, "invalid_passenger_count"),
+    ("later rules in order", {"passenger_count": 12, "PULocationID": 49}, "invalid_passenger_count"),
 ]
 
 
@@ -85,15 +85,29 @@ def trip_frame(spark, cases, kind):
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
 def test_each_rule_and_its_boundary(spark, kind):
     trips = trip_frame(spark, CASES, kind)
-    classified = taxi.classify_trips(trips, taxi.known_ids(spark, [1, 132]))
+    classified = taxi.classify_trips(trips, taxi.known_ids(spark, [48, 230]))
     got = {row.trip: row.reject_reason for row in classified.collect()}
     assert got == {name: reason for name, _, reason in CASES}
     assert classified.columns == [*trips.columns, "reject_reason"]
 
 
+def test_ranges_take_columns_and_tell_missing_from_outside(spark):
+    rows = [(1.0, 0.0, 2.0), (None, 0.0, 2.0), (2.0, 2.0, None), (float("nan"), None, 9.0), (3.0, 1.0, 2.0)]
+    frame = spark.createDataFrame(rows, "v double, low double, high double")
+    ranges = [Range(above="low", most="high"), Range(above="low", required=True), Range(least="low"), Range(required=True)]
+    got = frame.select(*[any_outside([F.col("v")], limit).alias(f"r{n}") for n, limit in enumerate(ranges)]).collect()
+    assert [tuple(row) for row in got] == [
+        (False, False, False, False),
+        (False, True, False, True),
+        (True, True, False, False),
+        (True, False, False, False),
+        (True, False, False, False),
+    ]
+
+
 def test_split_keeps_every_row_once(spark):
     trips = trip_frame(spark, CASES, "timestamp_ntz")
-    classified = taxi.classify_trips(trips, taxi.known_ids(spark, [1, 132]))
+    classified = taxi.classify_trips(trips, taxi.known_ids(spark, [48, 230]))
     good, bad = passed(classified), rejected(classified)
     assert good.count() + bad.count() == len(CASES)
     assert "reject_reason" not in good.columns
@@ -109,11 +123,11 @@ def test_histogram_orders_by_count_then_reason(spark):
 
 def test_zone_table_may_repeat_and_lack_ids(spark):
     zones = spark.createDataFrame(
-        [("1", "Q", "Airport"), ("1", "Q", "Airport"), (None, "x", "y"), ("N/A", "x", "y")],
+        [("48", "Q", "Airport"), ("48", "Q", "Airport"), (None, "x", "y"), ("N/A", "x", "y")],
         "LocationID string, Borough string, Zone string",
     )
     dimension = taxi.zone_dimension(zones)
-    assert [tuple(row) for row in dimension.collect()] == [(1, "Airport", "Q")]
-    trips = trip_frame(spark, [("t", {"DOLocationID": 1}, None)], "timestamp_ntz")
+    assert [tuple(row) for row in dimension.collect()] == [(48, "Airport", "Q")]
+    trips = trip_frame(spark, [("t", {"DOLocationID": 48}, None)], "timestamp_ntz")
     classified = taxi.classify_trips(trips, taxi.zone_lookup(zones))
     assert [row.reject_reason for row in classified.collect()] == [None]
