@@ -11,8 +11,8 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from quaymill.operators.schema import ensure_column
 from quaymill.sources.paths import move_path, partition_dirs, path_exists, remove_path
@@ -31,6 +31,14 @@ class Staged:
 
     path: str
     rows: DataFrame
+    count: int
+    """How many rows it holds, counted by the writing job."""
+
+
+def _counted(frame: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and what will know how many of its rows were written."""
+    seen = Observation()
+    return frame.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def _one_of(column: str, values: Iterable[str | None]) -> Column:
@@ -46,6 +54,34 @@ def _null_safe(keys: list[str]) -> Column:
     return condition
 
 
+# Types of which a scan can skip row groups by their smallest and largest value, or none at all.
+_UNORDERED = (ArrayType, BinaryType, MapType, StructType, VariantType)
+
+
+def key_bounds(source: DataFrame, keys: list[str]) -> Column:
+    """A condition that every row with a key of the source meets: bounds per key column.
+
+    One aggregate over the source. The condition is never null and reaches a Parquet scan as
+    comparisons, so row groups and files without such keys are not read.
+    """
+    ordered = [key for key in keys if not isinstance(source.schema[key].dataType, _UNORDERED)]
+    if not ordered:
+        return F.lit(True)
+    edges = []
+    for place, key in enumerate(ordered):
+        edges += [F.min(key).alias(f"low{place}"), F.max(key).alias(f"high{place}"), F.count_if(F.col(key).isNull()).alias(f"none{place}")]
+    found = source.agg(*edges).first()
+    within = F.lit(True)
+    for place, key in enumerate(ordered):
+        column, kind = F.col(key), source.schema[key].dataType
+        inside = F.lit(False)
+        if found[f"low{place}"] is not None:
+            low, high = (F.lit(found[f"{edge}{place}"]).cast(kind) for edge in ("low", "high"))
+            inside = column.isNotNull() & (column >= low) & (column <= high)
+        within = within & (inside | column.isNull() if found[f"none{place}"] else inside)
+    return within
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -91,7 +127,8 @@ class Lake:
         if partition_by is not None and frame.schema[partition_by].dataType != StringType():
             raise TypeError(f"{table}: partition column {partition_by} must be text")
         path = f"{self.root}/_staging/{table.replace('/', '.')}-{uuid.uuid4().hex}"
-        writer = frame.write
+        counted, seen = _counted(frame)
+        writer = counted.write
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
         try:
@@ -99,7 +136,7 @@ class Lake:
         except BaseException:
             remove_path(self.spark, path)
             raise
-        return Staged(path, self.spark.read.schema(frame.schema).parquet(path))
+        return Staged(path, self.spark.read.schema(frame.schema).parquet(path), seen.get.get("rows", 0))
 
     def publish(
         self,
@@ -154,7 +191,7 @@ class Lake:
         """``publish`` as one replacement of the given batches in the table's history."""
         self._require_same_types(table, staged.rows, partition_by)
         self.publish(table, staged, partition_by, batches)
-        self._record(table, "REPLACE")
+        self._record(table, "REPLACE", inserted=staged.count)
 
     def discard(self, staged: Staged) -> None:
         """Drop a staged write; harmless once it is published."""
@@ -165,12 +202,13 @@ class Lake:
     def append(self, table: str, frame: DataFrame, partition_by: str | None = None) -> None:
         """Add rows; new columns widen the table, but a column may not change type."""
         self._require_same_types(table, frame, partition_by)
-        writer = frame.write.mode("append")
+        counted, seen = _counted(frame)
+        writer = counted.write.mode("append")
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(table))
         self.spark.catalog.refreshByPath(self.path(table))
-        self._record(table, "APPEND")
+        self._record(table, "APPEND", inserted=seen.get.get("rows", 0))
 
     def _require_same_types(self, table: str, frame: DataFrame, partition_by: str | None) -> None:
         if not self._holds_files(table, partition_by):
@@ -198,15 +236,14 @@ class Lake:
         if rebalance:
             frame = frame.hint("rebalance", partition_by)
         staged = self.stage(table, frame, partition_by)
-        added = staged.rows.count()
         self.publish(table, staged, partition_by)
-        self._record(table, "APPEND", inserted=added)
+        self._record(table, "APPEND", inserted=staged.count)
 
     def overwrite(self, table: str, frame: DataFrame) -> None:
         """Replace rows and schema of an unpartitioned table."""
         staged = self.stage(table, frame)
         self.publish(table, staged)
-        self._record(table, "OVERWRITE")
+        self._record(table, "OVERWRITE", inserted=staged.count)
 
     def replace_batches(
         self, table: str, frame: DataFrame, partition_by: str, batches: Iterable[str | None]
@@ -220,12 +257,14 @@ class Lake:
 
     def replace_rows(self, table: str, frame: DataFrame, replaced: Column) -> None:
         """As ``replace_batches`` for an unpartitioned table: the frame for the rows that match."""
+        new, seen = _counted(frame)
         if self.exists(table):
+            self._require_same_types(table, frame, None)
             kept = self.read(table).where(~F.coalesce(replaced, F.lit(False)))
-            frame = kept.unionByName(frame, allowMissingColumns=True)
-        staged = self.stage(table, frame)
+            new = kept.unionByName(new, allowMissingColumns=True)
+        staged = self.stage(table, new)
         self.publish(table, staged)
-        self._record(table, "REPLACE")
+        self._record(table, "REPLACE", inserted=seen.get.get("rows", 0))
 
     def fill_nulls(
         self, table: str, column: str, value: str, partition_by: str, dtype: str = "string"
@@ -253,10 +292,10 @@ class Lake:
         are rewritten, so a key may move between partitions. Returns the row counts.
         """
         with Scratch(self.spark, "upsert") as scratch:
-            return self._upsert(table, scratch.keep(source, "source"), keys, partition_by)
+            return self._upsert(table, scratch.keep(source, "source"), keys, partition_by, scratch)
 
     def _upsert(
-        self, table: str, source: DataFrame, keys: list[str], partition_by: str | None
+        self, table: str, source: DataFrame, keys: list[str], partition_by: str | None, scratch: Scratch
     ) -> Row:
         group = F.col(partition_by) if partition_by else F.lit(None).cast("string")
         per_key = source.groupBy(*keys).agg(F.count("*").alias("n"), F.min(group).alias("_batch"))
@@ -265,22 +304,26 @@ class Lake:
         if any(row["n"] > 1 for row in arriving.values()):
             raise ValueError(f"upsert into {table}: source keys {keys} are not unique")
 
-        if partition_by:
-            self._require_same_types(table, source, partition_by)
+        self._require_same_types(table, source, partition_by)
         updated, merged, touched = 0, source, set(arriving)
         if self._holds_files(table, partition_by):
             target = self.read(table, partition_by=partition_by)
             source_keys = source.select(*keys).alias("s")
-            located = target.withColumn("_batch", group).select(*keys, "_batch").alias("t")
+            # Only rows between the source's smallest and largest keys can match.
+            within = key_bounds(source, keys)
+            located = target.where(within).withColumn("_batch", group).select(*keys, "_batch").alias("t")
             hits = located.join(source_keys, _null_safe(keys), "left_semi")
             # A key may stand in several target rows; it is one updated row of the source.
             per_key = hits.groupBy(*keys).agg(F.collect_set(F.struct("_batch")).alias("batches"))
+            # Written, it is read once for the partitions and once for the count.
+            per_key = scratch.keep(per_key, "matched")
             matched = per_key.select(F.explode("batches._batch").alias("_batch"), F.lit(1))
             touched |= set(_rows_per(matched, "_batch"))
             updated = per_key.count()
             if partition_by:
                 target = target.where(_one_of(partition_by, touched))
-            kept = target.alias("t").join(source_keys, _null_safe(keys), "left_anti")
+            kept = target.where(within).alias("t").join(source_keys, _null_safe(keys), "left_anti")
+            kept = kept.unionByName(target.where(~within))
             merged = kept.unionByName(source, allowMissingColumns=True)
         if partition_by:
             merged = merged.hint("rebalance", partition_by)

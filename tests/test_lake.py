@@ -195,7 +195,8 @@ def test_history_counts_writes_per_table(spark, lake):
     lake.append("a", trips(spark, (1, "2024-01", 1.0)), "month")
     lake.append("b", trips(spark, (1, "2024-01", 1.0)), "month")
     lake.replace_batches("a", trips(spark, (1, "2024-01", 2.0)), "month", ["2024-01"])
-    assert rows_of(lake.history("a"), "version", "operation") == [(0, "APPEND"), (1, "REPLACE")]
+    log = rows_of(lake.history("a"), "version", "operation", "rows_inserted")
+    assert log == [(0, "APPEND", 1), (1, "REPLACE", 1)]
     assert lake.history("none").isEmpty()
 
 
@@ -253,3 +254,48 @@ def test_exact_sums_refuse_what_they_cannot_hold(spark):
     measure = Measure("v", "v", 100)
     with pytest.raises(Exception, match="CAST"):
         additive(rows, ["k"], [measure], Exact()).collect()
+
+
+def test_every_write_records_its_rows(spark, lake):
+    rows = spark.range(37).selectExpr("cast(id as int) AS id", "concat('m', id % 3) AS month", "cast(1 as double) AS v")
+    lake.append("t", rows.repartition(5), "month")
+    lake.replace_batches("t", rows.where("id < 9"), "month", ["m0", "m1"])
+    lake.replace_batches("t", rows.limit(0), "month", ["m0"])
+    lake.overwrite("u", rows)
+    lake.replace_rows("u", rows.where("id < 4"), F.col("id") < 30)
+    assert [row["rows_inserted"] for row in lake.history("t").orderBy("version").collect()] == [37, 6, 0]
+    assert [row["rows_inserted"] for row in lake.history("u").orderBy("version").collect()] == [37, 4]
+    assert lake.read("u").count() == 11
+
+
+def test_unpartitioned_writes_refuse_other_types(spark, lake):
+    lake.overwrite("plain", spark.createDataFrame([("a", 7)], "k string, v int"))
+    text = spark.createDataFrame([("a", "seven")], "k string, v string")
+    for write in (lambda: lake.upsert("plain", text, ["k"]), lambda: lake.replace_rows("plain", text, F.lit(True))):
+        with pytest.raises(TypeError, match="plain.v is int"):
+            write()
+    assert rows_of(lake.read("plain")) == [("a", 7)]
+
+
+def test_key_bounds_hold_all_keys_and_reach_the_scan(spark, lake):
+    nan = float("nan")
+    table = [(n, float(n), "k%02d" % n) for n in range(40)] + [(None, nan, None), (7, None, "k07")]
+    schema = "n int, v double, t string"
+    lake.overwrite("t", spark.createDataFrame(table, schema))
+    for picked in ([table[3], table[9]], [table[40]], [table[5], table[40], table[41]], table):
+        source = spark.createDataFrame(picked, schema)
+        for keys in (["n"], ["v"], ["t"], ["n", "v", "t"]):
+            inside = lake.read("t").where(lake_module.key_bounds(source, keys))
+            same = [source[key].eqNullSafe(inside[key]) for key in keys]
+            assert source.join(inside, same, "left_anti").isEmpty()
+    source = spark.createDataFrame(table[3:9], schema)
+    plan = lake.read("t").where(lake_module.key_bounds(source, ["n", "t"]))._jdf.queryExecution().executedPlan().toString()
+    assert "qual(n,3), LessThanOrEqual(n,8)" in plan and "GreaterThanOrEqual(t," in plan
+
+
+def test_upsert_far_from_most_keys_keeps_them(spark, lake):
+    lake.overwrite("far", spark.range(500).selectExpr("id AS k", "id AS v"))
+    counts = lake.upsert("far", spark.range(490, 510).selectExpr("id AS k", "-id AS v"), ["k"])
+    assert (counts["rows_inserted"], counts["rows_updated"]) == (10, 10)
+    got = {row["k"]: row["v"] for row in lake.read("far").collect()}
+    assert got == {k: k if k < 490 else -k for k in range(510)}

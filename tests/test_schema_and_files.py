@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from quaymill import trips as taxi
 from quaymill.functions.columns import in_month, iso_text, month_key, parse_iso
-from quaymill.operators.sample import first_rows
+from quaymill.operators import sample
 from quaymill.operators.schema import columns_first, ensure_column, fit_schema, merge_spellings
 from quaymill.plans.bronze import inspect
 from quaymill.sources.files import (
@@ -185,15 +185,30 @@ def test_inspection_shows_audit_columns_first(spark):
     assert ensure_column(frame, "y", "date").dtypes[-1] == ("y", "date")
 
 
-@pytest.mark.parametrize("one_task_rows", [10_000, 10])
-def test_first_rows_are_those_of_the_order(spark, one_task_rows):
-    frame = spark.range(5000).select(
-        (F.col("id") * 7919 % 5003).alias("k"), F.lit(1).alias("same"), "id"
-    )
-    hot = frame.withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("k")))
-    got = first_rows(hot, 1800, ["k", "id"], one_task_rows).collect()
-    want = hot.orderBy("k", "id").limit(1800).collect()
-    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+@pytest.mark.parametrize("splits", [255, 3])
+def test_first_rows_are_those_of_the_order(spark, monkeypatch, splits):
+    """A hot value, nulls, NaN, repeated rows and text keys, for sizes below and above all of them."""
+    monkeypatch.setattr(sample.first_bound, "__defaults__", (splits,))
+    rows = [(None if n % 9 == 0 else n % 7 if n % 3 else 2, f"t{n % 5}", n // 4) for n in range(600)]
+    hot = spark.createDataFrame(rows, "k int, t string, id int").repartition(6)
+    for order in (["k", "id", "t"], ["t", "k", "id"], ["id", "k", "t"]):
+        places = [hot.columns.index(name) for name in order]
+        key = lambda row: [(row[at] is not None, row[at] or type(rows[1][at])()) for at in places]
+        want = sorted(rows, key=key)
+        for size in (0, 1, 130, 599, 700):
+            got = [tuple(row) for row in sample.first_rows(hot, size, order).collect()]
+            assert sorted(got, key=key) == want[:size]
+
+
+def test_first_rows_filter_before_they_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).selectExpr("id AS k", "id % 7 AS v").repartition(4).write.parquet(path)
+    frame = spark.read.parquet(path)
+    near = frame.where(sample.first_bound(frame, 100, ["k", "v"]))
+    assert 100 <= near.count() < 1_000
+    plan = near.repartitionByRange("k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange rangepartitioning") < plan.index("Filter") < plan.index("FileScan")
+    assert "LessThan(k," in plan
 
 
 def test_jdbc_options_are_complete_and_partitioned():

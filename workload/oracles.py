@@ -313,6 +313,19 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL
           SELECT 1, 'MERGE', count(*) FILTER (WHERE source_month > '1998-06'),
             count(*) FILTER (WHERE source_month BETWEEN '1998-01' AND '1998-06') FROM days""",
+        "latest_writes": silver
+        + """, counts AS (SELECT count(*) FILTER (WHERE source_month <= '1994-06') AS early,
+            count(*) FILTER (WHERE source_month <= '1995-06') AS later,
+            count(*) FILTER (WHERE source_month = '1995-03') AS bench,
+            count(*) FILTER (WHERE source_month IN ('1995-03', '1996-02')) AS two FROM silver)
+          SELECT 'appended' AS table_name, CAST(1 AS BIGINT) AS version, 'APPEND' AS operation,
+            bench AS rows_inserted, CAST(NULL AS BIGINT) AS rows_updated FROM counts
+          UNION ALL SELECT 'renewed', 1, 'APPEND', later - early, NULL FROM counts
+          UNION ALL SELECT 'replaced', 0, 'REPLACE', two, NULL FROM counts
+          UNION ALL SELECT 'rewritten', 1, 'OVERWRITE', bench, NULL FROM counts""",
+        "layout_stats": silver
+        + """SELECT 'small_files' AS copy, count(*) AS rows, CAST(32 AS BIGINT) AS files, true AS has_bytes FROM silver
+          UNION ALL SELECT 'clustered', count(*), NULL, true FROM silver""",
         "upsert_moved_keys": silver
         + """SELECT DISTINCT pu_location_id, max(source_month) AS source_month,
             count(*) AS trips FROM silver GROUP BY pu_location_id""",

@@ -187,7 +187,16 @@ def clustered_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.copy_stats(spark, _copies(spark, sf_dir))
+    """Rows of each copy, whether it has bytes, and the files of the one that has a fixed number."""
+    copies = _copies(spark, sf_dir)
+    stats = layout.copy_stats(spark, copies)
+    paths = {"small_files": copies.small_files, "clustered": copies.clustered}
+    rows = None
+    for name, path in paths.items():
+        one = spark.read.parquet(path).agg(F.lit(name).alias("copy"), F.count("*").alias("rows"))
+        rows = one if rows is None else rows.unionByName(one)
+    fixed = F.when(F.col("copy") == "small_files", F.col("files")).alias("files")
+    return stats.join(rows, "copy").select("copy", "rows", fixed, (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
 def refiled_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +326,24 @@ def upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.select("version", "operation", "rows_inserted", "rows_updated")
 
 
+def latest_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last write of four tables, each of another kind, with its row counts."""
+    lake, silver = _lake(spark, "writes"), silver_trips(spark, sf_dir)
+    early, bench = silver.where(F.col(MONTH) <= "1994-06"), silver.where(F.col(MONTH) == BENCH_MONTH)
+    lake.append("appended", early.hint("rebalance", MONTH), MONTH)
+    lake.append("appended", bench, MONTH)
+    lake.append_new("renewed", early, MONTH)
+    lake.append_new("renewed", silver.where(F.col(MONTH) <= "1995-06"), MONTH)
+    lake.replace_batches("replaced", silver, MONTH, [BENCH_MONTH, "1996-02"])
+    lake.overwrite("rewritten", early)
+    lake.overwrite("rewritten", bench)
+    union = None
+    for table in ("appended", "renewed", "replaced", "rewritten"):
+        last = lake.latest_write(table).drop("written_at")
+        union = last if union is None else union.unionByName(last)
+    return union
+
+
 def upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each zone's latest month; the second run moves zones to another partition."""
     lake, silver = _lake(spark, "moved"), _silver(spark, sf_dir)
@@ -414,6 +441,7 @@ QUERIES = [
     backfill_source_system,
     upsert_daily,
     upsert_metrics,
+    latest_writes,
     upsert_moved_keys,
     pipeline_ledger,
     pipeline_marts,
