@@ -172,6 +172,17 @@ def append_columns(
     return frame.select(*read).mapInArrow(run, schema)
 
 
+def append_scores(
+    docs: DataFrame, keep: list[str], held_out: Column, score: Callable[[pa.Array], np.ndarray]
+) -> DataFrame:
+    """The kept columns and held_out, score of the column ``text`` and predicted, under free names."""
+    held_name, score_name, predicted = (own_column(docs.select(*keep), n) for n in ("held_out", "score", "predicted"))
+    read = docs.withColumn(held_name, held_out) if held_name not in docs.columns else docs.select(*keep, "text", held_out.alias(held_name))
+    fields = [T.StructField(score_name, T.DoubleType())]
+    scored = append_columns(read, "text", fields, lambda texts: {score_name: score(texts)}, [*keep, held_name])
+    return scored.withColumn(predicted, (F.col(score_name) >= 0.5).cast("int"))
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words; a shorter text is one run, an empty one has none."""
     size = min(size, len(words))

@@ -177,7 +177,8 @@ class ItemIndex:
         np.add.at(change, stop, -1)
         used = np.flatnonzero(np.cumsum(change[:-1]) > 0)
         number = self.lookup(hashes[used])
-        weights = np.where(number >= 0, self.weights[np.maximum(number, 0)], 1.0)
+        # What no item has tells items apart no more than silence, so it does not weigh in the fingerprint.
+        weights = np.where(number >= 0, self.weights[np.maximum(number, 0)], 0.0)
         sums = _sign_sums(hashes[used], weights)
         begin = np.searchsorted(used, start)
         prints = _fingerprints(sums[begin + stop - start] - sums[begin])

@@ -118,7 +118,7 @@ KINDS = (
         "phone",
         r"\+[0-9][\x20().0-9-]+[0-9]",
         0.7,
-        "phone|tel|call|fax|mobile",
+        "phone|telephone|tel|call|fax|mobile|cell",
         lambda text: F.contains(text, F.lit("+")),
         lambda value: F.length(_digits(value)).between(10, 15),
     ),
@@ -144,7 +144,7 @@ KINDS = (
         "local_phone",
         r"(?<![0-9+(.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
         0.3,
-        "phone|tel|call|fax|mobile",
+        "phone|telephone|tel|call|fax|mobile|cell",
         lambda text: text.rlike(r"[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"),
         base=False,
     ),
@@ -158,7 +158,7 @@ _EARLIER = CONTEXT // 3 + 1
 
 def _score(kind: Kind, value: Column, before: Column) -> Column:
     """The pattern's score, raised by a context word just before, 0 where the checksum fails."""
-    near = F.lower(F.right(before, F.lit(CONTEXT))).rlike(rf"\b(?:{kind.words})")
+    near = F.lower(F.right(before, F.lit(CONTEXT))).rlike(rf"\b(?:{kind.words})s?\b")
     raised = F.lit(kind.score) + F.when(near, RAISE).otherwise(0.0)
     return F.when(kind.valid(value), F.least(raised, F.lit(1.0))).otherwise(0.0)
 

@@ -14,20 +14,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from quaymill.llm.common import append_columns, fold, raw_bytes
+from quaymill.llm.common import append_scores, fold, raw_bytes
 from quaymill.llm.sampling import labelled_sample
 
 FOLDS, HELD_OUT = 3, 1
-# Bounds of what training reads: texts per class, and bytes per text (a stretch of longer ones).
+# Bound of the labelled rows that training reads, each whole.
 SAMPLE_PER_CLASS = 1_000
-SAMPLE_BYTES = 6_144
 
 BLOCK, WIDTH, STRIDE = 128, 12, 4
 EMBEDDING, FILTERS = 8, 20
 EPOCHS, BATCH, RATE = 10, 64, 0.01
 _AT_ONCE = 4096
+# Blocks of which a gradient is taken at once; a longer text is a group of its own.
+STEP_BLOCKS = 4096
 
 
 def blocks_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -116,6 +117,19 @@ class QualityNet:
             np.add.at(out["embedding"], window.ravel(), pull.reshape(-1, EMBEDDING))
         return out
 
+    def _step_gradients(self, texts: pa.Array, labels: np.ndarray, chosen: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean loss of the chosen texts, added up over groups of them."""
+        sizes = np.array([-(-len(texts[int(n)].as_buffer() or b"") // BLOCK) for n in chosen])
+        group = np.cumsum(sizes) // STEP_BLOCKS
+        total: dict[str, np.ndarray] = {}
+        for number in np.unique(group):
+            part = chosen[group == number]
+            rows, text = blocks_of(texts.take(pa.array(part)))
+            for name, gradient in self.gradients(rows, text, labels[part]).items():
+                share = gradient * (len(part) / len(chosen))
+                total[name] = total[name] + share if name in total else share
+        return total
+
     def fit(self, texts: pa.Array, labels: np.ndarray, seed: int = 4) -> QualityNet:
         """Adam over shuffled batches with equal weight of both classes."""
         random = np.random.default_rng(seed)
@@ -127,9 +141,8 @@ class QualityNet:
             order = random.permutation(len(labels))
             for at in range(0, len(order), BATCH):
                 chosen = order[at : at + BATCH]
-                rows, text = blocks_of(texts.take(pa.array(chosen)))
                 step += 1
-                for name, gradient in self.gradients(rows, text, labels[chosen]).items():
+                for name, gradient in self._step_gradients(texts, labels, chosen).items():
                     first[name] += 0.1 * (gradient - first[name])
                     second[name] += 0.001 * (gradient**2 - second[name])
                     scaled = first[name] / (1 - 0.9**step)
@@ -140,17 +153,12 @@ class QualityNet:
 def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityNet:
     """A network from up to ``per_class`` texts of either label outside the held-out fold.
 
-    Of a text of over SAMPLE_BYTES bytes training reads a stretch at a place given by its hash.
-    Without labelled texts all scores are one half.
+    Texts are read whole; a step takes the gradient of its texts in groups of about STEP_BLOCKS
+    blocks, so its memory does not grow with their length. Without labelled texts all scores are one half.
     """
     training = fold(F.col("doc_id"), FOLDS) != HELD_OUT
     sample = labelled_sample(docs, labels, "quality", training, per_class)
-    text = F.coalesce("text", F.lit(""))
-    room = F.greatest(F.length(text) - SAMPLE_BYTES // 2, F.lit(1))
-    start = F.pmod(F.xxhash64(text), room).cast("int") + 1
-    stretch = F.when(F.octet_length(text) > SAMPLE_BYTES, F.substr(text, start, F.lit(SAMPLE_BYTES // 2)))
-    rows = sample.select("label", F.coalesce(stretch, text).alias("text"))
-    read = rows.orderBy(F.xxhash64("text"), "label").toArrow()
+    read = sample.orderBy(F.xxhash64("text"), "label", "text").toArrow()
     net = QualityNet()
     if not len(read):
         net.values["dense"][:] = 0
@@ -164,12 +172,11 @@ def score_quality(
     """The kept columns (all by default) and held_out, score (of label 1), predicted for every row.
 
     Null and empty texts are one block of zeros and score alike. Repeated rows score alike; labels
-    for unknown ids are ignored. Only the text decides a score. Empty tables give empty results.
+    for unknown ids are ignored. Only the text decides a score. Empty tables give empty results. A new
+    column whose name is taken gets a trailing underscore.
     """
     net = train_quality(docs, labels, per_class)
     tables = net.tables()
     keep = docs.columns if keep is None else keep
-    fields = [T.StructField("score", T.DoubleType())]
-    scored = append_columns(docs, "text", fields, lambda texts: {"score": net.scores(texts, tables)}, keep)
     held_out = fold(F.col("doc_id"), FOLDS) == HELD_OUT
-    return scored.withColumns({"held_out": held_out, "predicted": (F.col("score") >= 0.5).cast("int")})
+    return append_scores(docs, keep, held_out, lambda texts: net.scores(texts, tables))

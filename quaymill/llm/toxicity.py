@@ -22,15 +22,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from quaymill.llm.common import TERM, append_columns, fold, raw_bytes, run_hashes, scratch, word_runs
+from quaymill.llm.common import TERM, append_scores, fold, raw_bytes, run_hashes, scratch, word_runs
 from quaymill.llm.sampling import fit_logistic, labelled_sample
 
 FOLDS, HELD_OUT = 5, 0
-# Bounds of what training may read and keep.
+# Bound of the labelled rows that training may read.
 SAMPLE_PER_CLASS = 5_000
-LEXICON_SIZE = 5_000
 STEM = 4
 LEAST_TEXTS = 5
 # A word weighs what its log odds surely reach (so many standard errors below the estimate).
@@ -138,7 +137,10 @@ def _member(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _lexicon(sample: DataFrame, stems: bool) -> dict[str, float]:
-    """Words or stems of the sample's toxic texts with their log odds, the surest LEXICON_SIZE."""
+    """Words or stems of the sample's toxic texts with their log odds.
+
+    The bounded sample bounds them; whether the odds are sure decides alone.
+    """
     sizes = {row["label"]: row["n"] for row in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     units = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}_]+")
@@ -155,8 +157,6 @@ def _lexicon(sample: DataFrame, stems: bool) -> dict[str, float]:
         counts.where(F.col("toxic") >= LEAST_TEXTS)
         .select("unit", "toxic", odds.alias("odds"))
         .where(F.col("odds") >= LEAST_LOG_ODDS)
-        .orderBy(F.desc("odds"), "unit")
-        .limit(LEXICON_SIZE)
         .collect()
     )
     return {row["unit"]: row["odds"] for row in rows}
@@ -206,10 +206,8 @@ def score_toxicity(
 
     Null and empty texts match nothing and get the score of such texts. Repeated rows score alike;
     labels for unknown ids are ignored. Only the text decides a score. Empty tables give empty results.
+    A new column whose name is taken gets a trailing underscore.
     """
     model = train_toxicity(docs, labels, per_class)
     keep = docs.columns if keep is None else keep
-    fields = [T.StructField("score", T.DoubleType())]
-    scored = append_columns(docs, "text", fields, lambda texts: {"score": model.scores(texts)}, keep)
-    held_out = fold(F.col("doc_id"), FOLDS) == HELD_OUT
-    return scored.withColumns({"held_out": held_out, "predicted": (F.col("score") >= 0.5).cast("int")})
+    return append_scores(docs, keep, fold(F.col("doc_id"), FOLDS) == HELD_OUT, model.scores)
