@@ -265,6 +265,8 @@ def _best_pivots(rows: DataFrame, turn: int, space: Scratch) -> DataFrame:
     pairs = pairs.select("tid", "n_terms", "class", F.col("pivot.tid").alias("other"), F.col("pivot.n_terms").alias("size"), F.col("pivot.class").alias("other_class"))
     pairs = pairs.where((F.col("class") != F.col("other_class")) & _may_link("n_terms", "size"))
     counted = pairs.groupBy("tid", "other").agg(F.count("*").alias("n"))
+    # Pairs that meet in one bucket only are seldom linked; settling is cheaper for them than an alignment.
+    counted = counted.where("n > 1")
     # At most width pivots for each sketch of a text.
     ranked = F.sort_array(F.collect_list(F.struct("n", "other")), asc=False)
     best = counted.groupBy("tid").agg(F.slice(ranked, 1, width).alias("best"))
