@@ -1,19 +1,23 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped into lines: a line is the text of one block element. Each line's length counts
-only outside page furniture (menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments, by element and by class, id or role), and inside <article> or <main> where the page has one.
-Block sums over a sliding window of BLOCK lines show where text surges and where it dives
-again; everything between is kept, short paragraphs included, as long as it is no furniture. A
-page without <article> or <main> has its surge where a block reaches SURGE characters, so that
-stray lines around the text stay out.
+A forward tokenizer strips markup into lines: a line is the text of one block element. Page furniture (menus,
+headers, footers, sidebars, notices, adverts, forms, reader comments, by element and by class, id or
+role) drops out, and where a page has <article> or <main> so does what lies outside. A line weighs as many characters
+as it has outside links. Sums over a sliding window of BLOCK lines show where text surges and where it dives:
+
+* a block without any weight is a trough. Its lines, a run of bare links, are left out, inside <article> as well;
+* a segment of text holds a block of SURGE characters, and goes from there to the troughs around it; before its
+  first surge only a heading is taken in. All segments are kept, short paragraphs included. In <article>
+  or <main> any weight is a surge, as the element has told already that text is there.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +29,14 @@ BLOCK = 3
 SURGE = 80
 
 # Elements whose content is no text of the page.
-_HIDDEN = "script|style|head|template|noscript|iframe|svg|select|textarea|button|object|canvas"
-_DROPPED = re.compile(
-    rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({_HIDDEN})\b[^>]*(?<!/)>.*?(?:</\1\s*>|$)|<[!?][^>]*>",
-    re.S | re.I,
+_HIDDEN = frozenset(
+    "script style head template noscript iframe svg select textarea button object canvas".split()
 )
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>")
+_HIDDEN_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _HIDDEN}
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+# Up to what a start tag needs a decision on: its end, or the opening quote of a value.
+_STEP = re.compile(r">|=\s*[\"']")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre "
@@ -51,7 +57,8 @@ _FURNITURE_WORD = re.compile(
 # Words that name the place or form of furniture, but no state of another element (with, has, no, open).
 _NEUTRAL_WORD = re.compile(
     r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|bar|box|block|area|list|links?|"
-    r"items?|buttons?|container|wrapper|wrap|section|inner|text|icons?|posts?|message|\d+)",
+    r"items?|buttons?|container|wrapper|wrap|section|inner|text|icons?|posts?|message|"
+    r"slots?|units?|google|body|users?|readers?|articles|stories|law|tools?|placeholder|feed|thread|count|\d+)",
     re.I,
 )
 # An article has such parts of its own.
@@ -74,56 +81,151 @@ def _names_furniture(label: str, inside: bool) -> bool:
     return False
 
 
-def _end_implied(open_elements: list[tuple], name: str) -> None:
-    """Close what a start tag closes: a paragraph, or the item, cell or row before."""
-    if open_elements and open_elements[-1][0] == "p":
-        open_elements.pop()
-    for depth in range(len(open_elements) - 1, -1, -1):
-        if open_elements[depth][0] in _BOUNDS.get(name, ()):
-            return
-        if open_elements[depth][0] in _ENDS.get(name, ()):
-            del open_elements[depth:]
+class OpenElements:
+    """The open block elements; where each name stands, so that no search walks over the others."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool, bool]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str, bad: bool, inside: bool, firm: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, bad, inside, firm))
+
+    def state(self) -> tuple[bool, bool, bool]:
+        return self.stack[-1][1:] if self.stack else (False, False, False)
+
+    def _nearest(self, names: tuple[str, ...]) -> int:
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=-1)
+
+    def _cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self.places[self.stack.pop()[0]].pop()
+
+    def close(self, name: str) -> None:
+        depth = self._nearest((name,))
+        if depth >= 0:
+            self._cut(depth)
+
+    def end_implied(self, name: str) -> None:
+        """Close what a start tag closes: a paragraph, or the item, cell or row before."""
+        if self.stack and self.stack[-1][0] == "p":
+            self._cut(len(self.stack) - 1)
+        bound = self._nearest(_BOUNDS.get(name, ()))
+        while (depth := self._nearest(_ENDS.get(name, ()))) > bound:
+            self._cut(depth)
             if name != "tr":
                 return
 
 
-def page_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
-    """The lines of a page, which of them are furniture, and which lie in <article> or <main>."""
-    html = _DROPPED.sub(" ", html)
-    lines: list[str] = []
-    furniture: list[bool] = []
-    content: list[bool] = []
+def tokens(html: str) -> Iterator[tuple[str, str, str]]:
+    """Text as ("", "", text), tags as ("/" or "<", name, attributes); comments and hidden elements are skipped.
+
+    Every step moves forward and every search that fails is not made again, so time grows with the page.
+    What the end of the page cuts off is dropped.
+    """
+    at, size = 0, len(html)
+    last = {mark: html.rfind(mark) for mark in (">", '"', "'")}
+    while at < size:
+        start = html.find("<", at)
+        if start < 0:
+            yield "", "", html[at:]
+            return
+        if start > at:
+            yield "", "", html[at:start]
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            at = size if end < 0 else end + 3
+            yield "", "", " "
+            continue
+        if html.startswith("<![CDATA[", start):
+            end = html.find("]]>", start)
+            at = size if end < 0 else end + 3
+            yield "", "", " "
+            continue
+        if html.startswith(("<!", "<?"), start):
+            end = html.find(">", start) if start < last[">"] else -1
+            at = size if end < 0 else end + 1
+            yield "", "", " "
+            continue
+        name = _NAME.match(html, start + 1)
+        if name is None:
+            yield "", "", "<"
+            at = start + 1
+            continue
+        end = name.end()
+        while True:
+            step = _STEP.search(html, end) if end <= last[">"] else None
+            if step is None:
+                return
+            end = step.end()
+            mark = html[end - 1]
+            if mark == ">":
+                break
+            if end <= last[mark]:
+                end = html.find(mark, end) + 1
+        at = end
+        closing, lowered = name.group(1), name.group(2).lower()
+        attributes = html[name.end() : end - 1]
+        if lowered in _HIDDEN:
+            if not closing and not attributes.endswith("/"):
+                found = _HIDDEN_END[lowered].search(html, end)
+                at = size if found is None else found.end()
+            yield "", "", " "
+            continue
+        yield closing or "<", lowered, attributes
+
+
+class Line(NamedTuple):
+    text: str
+    weight: int
+    """Characters outside links."""
+    furniture: bool
+    content: bool
+    """In <article> or <main>."""
+    heading: bool
+
+
+def page_lines(html: str) -> list[Line]:
+    lines: list[Line] = []
     pieces: list[str] = []
-    open_elements: list[tuple[str, bool, bool, bool]] = []
+    linked: list[str] = []
+    opened = OpenElements()
     # Furniture, in content, furniture by an element and not only by a label.
     state = (False, False, False)
+    in_link, link_depth = False, 0
 
     def flush() -> None:
         line = " ".join(unescape("".join(pieces)).split())
+        outside = sum(map(len, line.split())) - sum(map(len, unescape("".join(linked)).split()))
         pieces.clear()
+        linked.clear()
         if line:
-            lines.append(line)
-            furniture.append(state[0])
-            content.append(state[1])
-
-    at = 0
-    for tag in _TAG.finditer(html):
-        pieces.append(html[at : tag.start()])
-        at = tag.end()
-        closing, name, attributes = tag.group(1), tag.group(2).lower(), tag.group(3)
+            heading = bool(opened.stack) and opened.stack[-1][0] in _HEADINGS
+            lines.append(Line(line, max(outside, 0), state[0], state[1], heading))
+
+    for kind, name, attributes in tokens(html):
+        if not kind:
+            pieces.append(attributes)
+            if in_link:
+                linked.append(attributes)
+            continue
+        closing = kind == "/"
         if name == "br":
             pieces.append(" ")
+        if name == "a":
+            in_link = not closing
+            link_depth = len(opened.stack)
         if name not in _BLOCKS:
             continue
         flush()
         if closing:
-            for depth in range(len(open_elements) - 1, -1, -1):
-                if open_elements[depth][0] == name:
-                    del open_elements[depth:]
-                    break
+            opened.close(name)
+            # A link that was never closed ends with the block around it.
+            in_link = in_link and len(opened.stack) >= link_depth
         elif name not in _EMPTY and not attributes.endswith("/"):
-            _end_implied(open_elements, name)
-            state = open_elements[-1][1:] if open_elements else (False, False, False)
+            opened.end_implied(name)
+            state = opened.state()
             # <article> and <main> start afresh from what a wrapper's label says.
             inside = state[1] or name in _CONTENT
             fresh = name in _CONTENT and not state[1]
@@ -132,39 +234,55 @@ def page_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
             if not bad and attributes and name not in ("html", "body"):
                 labels = (next(filter(None, m), "") for m in _LABEL.findall(attributes))
                 bad = any(_names_furniture(label, inside) for label in labels)
-            open_elements.append((name, bad, inside, firm))
-        state = open_elements[-1][1:] if open_elements else (False, False, False)
-    rest = html[at:]
-    # A tag that the end of the page cuts off is no text.
-    cut = re.search(r"<[/a-zA-Z!?][^<>]*$", rest)
-    pieces.append(rest[: cut.start()] if cut else rest)
+            opened.push(name, bad, inside, firm)
+        state = opened.state()
     flush()
-    return lines, furniture, content
+    return lines
 
 
-def main_text(html: str | None) -> str:
-    """The kept lines, joined by an empty line; empty if there are none."""
-    if not html:
-        return ""
-    lines, furniture, content = page_lines(html)
-    if not lines:
-        return ""
-    counted = ~np.array(furniture)
-    marked = bool((counted & np.array(content)).any())
+def text_lines(lines: list[Line]) -> list[Line]:
+    """The lines between surges and dives."""
+    counted = [line for line in lines if not line.furniture]
+    marked = any(line.content for line in counted)
     if marked:
-        counted &= np.array(content)
-    lengths = np.where(counted, [len(line) for line in lines], 0)
-    sums = np.concatenate([[0], np.cumsum(lengths)])
-    last = np.minimum(np.arange(len(lines)) + BLOCK, len(lines))
+        counted = [line for line in counted if line.content]
+    if not counted:
+        return []
+    weights = np.array([line.weight for line in counted])
+    sums = np.concatenate([[0], np.cumsum(weights)])
+    last = np.minimum(np.arange(len(weights)) + BLOCK, len(weights))
     blocks = sums[last] - sums[:-1]
-    least = 1 if marked else min(SURGE, int(blocks.max()))
-    surging = np.flatnonzero((blocks >= max(least, 1)) & (lengths > 0))
-    if not len(surging):
-        return ""
-    # From the first line of a surge to the last line before the text dives.
-    first = int(surging[0])
-    dive = int(min(surging[-1] + BLOCK, len(lines)))
-    return "\n\n".join(line for line, kept in zip(lines[first:dive], counted[first:dive]) if kept)
+    # Lines that a whole block without weight covers.
+    trough = np.zeros(len(weights) + 1, int)
+    empty = np.flatnonzero((blocks == 0) & (last - np.arange(len(weights)) == BLOCK))
+    np.add.at(trough, empty, 1)
+    np.add.at(trough, empty + BLOCK, -1)
+    trough = np.cumsum(trough)[:-1] > 0
+    if marked:
+        return [line for line, low in zip(counted, trough) if not low]
+    surges = np.flatnonzero((blocks >= max(1, min(SURGE, int(blocks.max())))) & (weights > 0))
+    kept: list[Line] = []
+    end = 0
+    for surge in surges:
+        if surge < end:
+            continue
+        start = int(surge)
+        while start > end and counted[start - 1].heading and not trough[start - 1]:
+            start -= 1
+        end = int(surge)
+        while end < len(counted) and not trough[end]:
+            end += 1
+        segment = counted[start:end]
+        # A link or two at the end of a segment are on their way to a dive.
+        while segment and not segment[-1].weight:
+            segment.pop()
+        kept += segment
+    return kept
+
+
+def main_text(html: str | None) -> str:
+    """The kept lines, joined by an empty line; empty if there are none."""
+    return "\n\n".join(line.text for line in text_lines(page_lines(html))) if html else ""
 
 
 FIELDS = [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]

@@ -1,19 +1,22 @@
 """Toxicity by a weighted finite-state grammar over the clauses of a text.
 
-Small transducers are composed, each reading the last one's output token by token:
+Four transducers (``transducers.py``) each read what the last one writes, token by token:
 
-* the lexicon turns a word into an insult with a weight, a threat verb, or a mark of the
-  grammar (person, negation, report, intent). Insult words and word stems with their weights are
-  learned from labelled texts; the other classes are the closed lists below;
-* negation turns an insult or threat up to NEGATION_REACH tokens after a negator into a denied one;
-* reported speech turns what follows a verb of saying, or stands in quotes, into reported;
-* aim joins an insult with a person of its clause, and intent, threat verb and person into a threat.
+* the lexicon turns a word into an insult, a threat verb, or a mark of the grammar (person, other person,
+  negation, report, intent, quote, break). Insult words and word stems with their amounts are learned from
+  labelled texts; the other classes are the closed lists below;
+* reported speech marks what stands in quotes, over sentence ends too, or follows a verb of saying in its sentence;
+* negation marks the rest of a clause after a negator;
+* aim matches insult and target, intent, threat verb and target, or an insult alone, in either order: an insult
+  or threat may be taken as aimed on credit, and a path that ends a sentence without the target is none.
 
-A clause's matches add up by their kind. A text's score is a logistic function of these sums, fitted on the
-same labelled sample, so what a denied or reported match is worth is learned as well.
+The last three are arcs as data, composed once into one table. The best path through it decides which match each
+insult or threat belongs to, and so the kind under which its amount counts. A text's score is a
+logistic function of the sums by kind, fitted on the same labelled sample, so what a denied or reported
+match is worth is learned as well.
 
 Most texts have no insult or threat word at all, which a hash lookup over all of their words tells;
-only clauses of the others go through the grammar. Texts are read whole.
+only sentences with such words of the others go through the table. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quaymill.llm.common import TERM, append_scores, fold, raw_bytes, run_hashes, scratch, word_runs
 from quaymill.llm.sampling import fit_logistic, labelled_sample
+from quaymill.llm.transducers import OTHER, Arc, Transducer, best_path, compose
 
 FOLDS, HELD_OUT = 5, 0
 # Bound of the labelled rows that training may read.
@@ -35,9 +39,9 @@ LEAST_TEXTS = 5
 # A word weighs what its log odds surely reach (so many standard errors below the estimate).
 SURE_ERRORS = 1.64
 LEAST_LOG_ODDS = 1.3
-NEGATION_REACH = 3
 
 PERSONS = frozenset("you your yours yourself u ur du dich dir ihr tu te vous toi usted ustedes".split())
+OTHERS = frozenset("he him his she her hers they them their it its er sie il elle ils elles ella ellos".split())
 THREATS = frozenset("kill hurt destroy burn shoot stab strangle beat hang murder smash cripple".split())
 INTENTS = frozenset("will gonna shall ll going should must hope deserve".split())
 NEGATORS = frozenset("not never no isn aren wasn don doesn didn nobody without nicht kein pas jamais nunca".split())
@@ -45,9 +49,100 @@ REPORTS = frozenset("said says say saying claimed claims called wrote writes quo
 QUOTES = frozenset("\"“”«»„")
 
 KINDS = ("plain", "aimed", "threat", "denied", "reported")
-_CLAUSE = re.compile(r"[.!?;\n]+")
 _FOREIGN_GAP = re.compile(r"[^\w\x00-\x7f]+")
-_TOKEN = re.compile(r"\w+|[\"“”«»„]")
+_TOKEN = re.compile(r"\w+|[\"“”«»„,]|\n[ \t\r]*\n|[.!?;\n]")
+_WORD = re.compile(r"\w")
+
+MARKS = {
+    **dict.fromkeys(REPORTS, "report"),
+    **dict.fromkeys(INTENTS, "intent"),
+    **dict.fromkeys(NEGATORS, "negator"),
+    **dict.fromkeys(OTHERS, "other"),
+    **dict.fromkeys(PERSONS, "person"),
+    **dict.fromkeys(QUOTES, "quote"),
+    **dict.fromkeys(".!?;\n", "stop"),
+    ",": "pause",
+}
+# "both" is a threat verb that the lexicon knows as an insult as well.
+MATCHES = ("insult", "threat", "both")
+CLASSES = [*dict.fromkeys(MARKS.values()), "paragraph", *MATCHES]
+
+# What a match is worth to its path, so that the fullest reading of a sentence wins.
+THREAT, AIMED, PLAIN = 3.0, 2.0, 1.0
+LESS = {"denied": 1.0, "reported": 1.0}
+
+REPORT = Transducer(
+    "open",
+    CLASSES,
+    [
+        Arc("open", "report", OTHER, "said"),
+        Arc("open", "quote", OTHER, "quoted"),
+        Arc("open", OTHER, OTHER, "open"),
+        Arc("said", "quote", OTHER, "quoted"),
+        Arc("said", "stop", OTHER, "open"),
+        Arc("said", "paragraph", OTHER, "open"),
+        *[Arc("said", match, "reported", "said") for match in MATCHES],
+        Arc("said", OTHER, OTHER, "said"),
+        Arc("quoted", "quote", OTHER, "open"),
+        # A quote that is never closed ends with its paragraph.
+        Arc("quoted", "paragraph", OTHER, "open"),
+        *[Arc("quoted", match, "reported", "quoted") for match in MATCHES],
+        Arc("quoted", OTHER, OTHER, "quoted"),
+    ],
+)
+NEGATION = Transducer(
+    "plain",
+    [*CLASSES, "reported"],
+    [
+        Arc("plain", "negator", OTHER, "denying"),
+        Arc("plain", OTHER, OTHER, "plain"),
+        *[Arc("denying", end, OTHER, "plain") for end in ("stop", "paragraph", "pause", "quote")],
+        *[Arc("denying", match, "denied", "denying") for match in MATCHES],
+        Arc("denying", OTHER, OTHER, "denying"),
+    ],
+)
+
+
+def _aim() -> Transducer:
+    """Who is spoken of (nobody yet, you, another), whether intent was stated, and what is owed a person."""
+    arcs = []
+    for who in ("nobody", "you", "another"):
+        for will in ("", "-will"):
+            state = who + will
+            arcs += [Arc(state, end, OTHER, "nobody") for end in ("stop", "paragraph")]
+            arcs += [Arc(state, "person", OTHER, "you" + will), Arc(state, "other", OTHER, "another" + will)]
+            arcs += [Arc(state, "intent", OTHER, who + "-will"), Arc(state, OTHER, OTHER, state)]
+            for match in ("insult", "both"):
+                # The target came before, is still to come, or there is none.
+                if who == "you":
+                    arcs.append(Arc(state, match, "aimed", state, AIMED))
+                if who == "nobody":
+                    arcs.append(Arc(state, match, "aimed", "owing" + will, AIMED))
+                arcs.append(Arc(state, match, "plain", state, PLAIN))
+            for match in ("threat", "both"):
+                if will and who == "you":
+                    arcs.append(Arc(state, match, "threat", state, THREAT))
+                if will:
+                    arcs.append(Arc(state, match, "threat", "owing-will", THREAT))
+                if match == "threat":
+                    arcs.append(Arc(state, match, OTHER, state))
+            arcs += [Arc(state, kind, kind, state, weight) for kind, weight in LESS.items()]
+    for will in ("", "-will"):
+        owing = "owing" + will
+        # A debt is paid by the next person named, who must be the one spoken to.
+        arcs += [Arc(owing, "person", OTHER, "you" + will), Arc(owing, "intent", OTHER, "owing-will")]
+        arcs += [Arc(owing, "insult", "aimed", owing, AIMED), Arc(owing, "both", "aimed", owing, AIMED)]
+        if will:
+            arcs += [Arc(owing, match, "threat", owing, THREAT) for match in ("threat", "both")]
+        arcs += [Arc(owing, kind, kind, owing, weight) for kind, weight in LESS.items()]
+        passed = [c for c in CLASSES if c not in ("person", "intent", "other", "stop", "paragraph", "insult", "both")]
+        passed = [c for c in passed if c != "threat" or not will]
+        arcs += [Arc(owing, symbol, OTHER, owing) for symbol in passed]
+    return Transducer("nobody", [*CLASSES, "reported", "denied"], arcs)
+
+
+AIM = _aim()
+TABLE = compose(compose(REPORT, NEGATION), AIM)
 
 
 class Grammar:
@@ -62,42 +157,46 @@ class Grammar:
         weight = self.words.get(word, 0.0)
         return max(weight, self.stems.get(word[:STEM], 0.0)) if len(word) > STEM else weight
 
-    def clause(self, tokens: list[str]) -> tuple[dict[str, float], int]:
-        """The weight of the matches of one clause by kind, and how many tokens matched."""
-        sums = dict.fromkeys(KINDS, 0.0)
-        matched = 0
-        aimed = not PERSONS.isdisjoint(tokens)
-        denied = 0
-        quoted = said = intent = False
-        for token in tokens:
-            if token in QUOTES:
-                quoted = not quoted
-            elif token in NEGATORS:
-                denied = NEGATION_REACH + 1
-            elif token in REPORTS:
-                said = True
-            elif token in INTENTS:
-                intent = True
-            else:
-                weight = self.weight(token)
-                threat = token in THREATS and intent and aimed
-                if weight or threat:
-                    matched += 1
-                    kind = "threat" if threat else "aimed" if aimed else "plain"
-                    kind = "denied" if denied else "reported" if said or quoted else kind
-                    sums[kind] += weight or LEAST_LOG_ODDS
-            denied = max(0, denied - 1)
-        return sums, matched
+    def symbol(self, token: str) -> tuple[str | None, float]:
+        """The class of a token, None if the grammar has no use for it, and its amount."""
+        mark = MARKS.get(token)
+        if mark is not None:
+            return mark, 0.0
+        if not _WORD.match(token):
+            return "paragraph", 0.0
+        weight = self.weight(token)
+        if token in THREATS:
+            return ("both", weight) if weight else ("threat", LEAST_LOG_ODDS)
+        return ("insult", weight) if weight else (None, 0.0)
+
+    def clauses(self, text: str):
+        """Per sentence with a match, the amounts of its matches by kind."""
+        state = TABLE.start
+        symbols: list[str] = []
+        amounts: list[float] = []
+        for token in [*_TOKEN.findall(text.lower()), "."]:
+            mark, amount = self.symbol(token)
+            if mark is None:
+                continue
+            symbols.append(mark)
+            amounts.append(amount)
+            if mark not in ("stop", "paragraph"):
+                continue
+            written, state = best_path(TABLE, state, symbols, amounts)
+            if written:
+                sums = dict.fromkeys(KINDS, 0.0)
+                for kind, value in written:
+                    sums[kind] += value
+                yield sums
+            symbols, amounts = [], []
 
     def features(self, text: str) -> list[float]:
         sums = dict.fromkeys(KINDS, 0.0)
         strongest = 0.0
-        for clause in _CLAUSE.split(text.lower()):
-            found, matched = self.clause(_TOKEN.findall(clause))
-            if matched:
-                strongest = max(strongest, sum(found.values()))
-                for kind, weight in found.items():
-                    sums[kind] += weight
+        for found in self.clauses(text):
+            strongest = max(strongest, sum(found.values()))
+            for kind, weight in found.items():
+                sums[kind] += weight
         return [float(np.log1p(sums[kind])) for kind in KINDS] + [float(np.log1p(strongest))]
 
     def suspects(self, texts: pa.Array) -> np.ndarray:
