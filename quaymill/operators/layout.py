@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quaymill.operators.dimensions import broadcast_if_small
 from quaymill.sources.files import storage_stats
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -36,6 +37,24 @@ def range_number(column: Column, points: list) -> Column:
     return search(0, len(points)).cast("bigint")
 
 
+def grouped_split_points(frame: DataFrame, group: str, columns: list[str], bits: int) -> DataFrame:
+    """``split_points`` for every value of ``group``: one row each, an array ``points_<column>`` per column.
+
+    Partial sketches are merged per group, so a group that holds most rows is no burden to one task.
+    """
+    shares = [i / 2**bits for i in range(1, 2**bits)]
+    found = [F.percentile_approx(c, shares).alias(f"points_{c}") for c in columns]
+    cut = frame.groupBy(F.col(group).alias("group_value")).agg(*found)
+    empty = {c: F.array().cast(cut.schema[f"points_{c}"].dataType) for c in columns}
+    points = [F.coalesce(F.array_distinct(f"points_{c}"), empty[c]).alias(f"points_{c}") for c in columns]
+    return cut.select("group_value", *points)
+
+
+def points_reached(points: Column, value: Column) -> Column:
+    """``range_number`` where the points stand in an array column."""
+    return F.size(F.filter(points, lambda point: point <= value)).cast("bigint")
+
+
 def interleave(numbers: list[Column], bits: int) -> Column:
     """Morton order: bit i of number k becomes bit ``i * len(numbers) + k``."""
     code = F.lit(0).cast("bigint")
@@ -68,19 +87,21 @@ def compact_clustered(
 ) -> None:
     """Copy a Parquet table into few large files per partition, clustered on ``columns``.
 
-    The range split goes on by the row's place in its source file, so neither a hot value nor
-    a group of equal rows can outgrow one task; that place is the same on every retry.
+    Each partition is cut at its own quantiles, so its files narrow a lookup however its values differ from
+    the other partitions'. The range split goes on by the row's place in its source file, so neither a hot
+    value nor a group of equal rows can outgrow one task; that place is the same on every retry.
     """
     if files is None:
         size = storage_stats(spark, source).first()["size_bytes"]
         files = max(1, math.ceil(size / TARGET_FILE_BYTES))
     table = spark.read.parquet(source)
     curve, place = "_curve", "_place"
-    placed = table.select(
-        "*",
-        zorder_code(table, columns, bits).alias(curve),
-        F.col("_metadata.row_index").alias(place),
-    )
+    # One row per partition directory.
+    points = broadcast_if_small(grouped_split_points(table, partition_by, columns, bits))
+    rows = table.select("*", F.col("_metadata.row_index").alias(place))
+    cut = rows.join(points, F.col(partition_by).eqNullSafe(F.col("group_value")), "left")
+    numbers = [points_reached(F.col(f"points_{c}"), F.col(c)) for c in columns]
+    placed = cut.select(*table.columns, interleave(numbers, bits).alias(curve), place)
     spread = placed.repartitionByRange(files, partition_by, curve, place)
     ordered = spread.sortWithinPartitions(partition_by, curve, *columns)
     kept = ordered.drop(curve, place)

@@ -7,6 +7,7 @@ table is assumed; several tables do not commit together.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -15,7 +16,14 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from quaymill.operators.schema import ensure_column
-from quaymill.sources.paths import move_path, partition_dirs, path_exists, remove_path
+from quaymill.sources.paths import (
+    move_path,
+    partition_dirs,
+    path_exists,
+    read_small,
+    remove_path,
+    write_small,
+)
 from quaymill.sources.workspace import Scratch
 
 HISTORY = "write_history"
@@ -82,6 +90,11 @@ def key_bounds(source: DataFrame, keys: list[str]) -> Column:
     return within
 
 
+def _with_last(schema: StructType, partition_by: str) -> StructType:
+    fields = [field for field in schema.fields if field.name != partition_by]
+    return StructType(fields).add(partition_by, StringType())
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -105,17 +118,49 @@ class Lake:
     ) -> DataFrame:
         """Scan a table; columns that older files lack are null.
 
-        Pass ``schema`` where it is known: it spares the footer pass and lets a table that was
+        Writes keep the table's schema beside it, so no footer is read; only a table that something else
+        wrote is asked for its footers. ``schema`` overrides both and lets a table that was
         emptied be read. ``partition_by`` keeps the partition values text.
         """
         path = self.path(table)
         if schema is None:
-            schema = self.spark.read.option("mergeSchema", True).parquet(path).schema
+            schema = self.kept_schema(table)
+            if schema is None:
+                schema = self.spark.read.option("mergeSchema", True).parquet(path).schema
             if partition_by is not None:
-                fields = [field for field in schema.fields if field.name != partition_by]
-                schema = StructType(fields).add(partition_by, StringType())
+                schema = _with_last(schema, partition_by)
         return self.spark.read.schema(schema).parquet(path)
 
+    # --- kept schemas -----------------------------------------------------------------------
+
+    def _schema_path(self, table: str) -> str:
+        return f"{self.root}/_schemas/{table.replace('/', '.')}.json"
+
+    def kept_schema(self, table: str) -> StructType | None:
+        text = read_small(self.spark, self._schema_path(table))
+        return None if text is None else StructType.fromJson(json.loads(text))
+
+    def forget_schema(self, table: str) -> None:
+        """Read footers again until the next write that starts the table afresh: for files that other programs added."""
+        remove_path(self.spark, self._schema_path(table))
+
+    def _keep_schema(self, table: str, schema: StructType, partition_by: str | None) -> None:
+        if partition_by is not None:
+            schema = _with_last(schema, partition_by)
+        write_small(self.spark, self._schema_path(table), schema.json())
+
+    def _widen_schema(self, table: str, schema: StructType, partition_by: str | None) -> None:
+        """Add the new columns before rows that have them show: until then they are null.
+
+        A table without a kept schema stays without, as older files may hold more.
+        """
+        known = self.kept_schema(table)
+        if known is None:
+            return
+        new = [field for field in schema.fields if field.name not in known.names]
+        if new:
+            self._keep_schema(table, StructType([*known.fields, *new]), partition_by)
+
     def batches(self, table: str, column: str) -> list[str | None]:
         """Values of the partition column, sorted, from the directory names."""
         found = partition_dirs(self.spark, self.path(table), column)
@@ -156,6 +201,12 @@ class Lake:
             live = partition_dirs(self.spark, target, partition_by)
             new = partition_dirs(self.spark, staged.path, partition_by)
 
+        schema = staged.rows.schema
+        if live:
+            self._widen_schema(table, schema, partition_by)
+        else:
+            # Without a kept schema footers are read, whatever happens in between.
+            self.forget_schema(table)
         moves: list[tuple[str, str]] = []
         try:
             if not live:
@@ -171,6 +222,8 @@ class Lake:
             for source, moved in reversed(moves):
                 move_path(self.spark, moved, source)
             raise
+        if not live:
+            self._keep_schema(table, schema, partition_by)
         self.discard(staged)
         remove_path(self.spark, aside)
         self.spark.catalog.refreshByPath(target)
@@ -202,6 +255,10 @@ class Lake:
     def append(self, table: str, frame: DataFrame, partition_by: str | None = None) -> None:
         """Add rows; new columns widen the table, but a column may not change type."""
         self._require_same_types(table, frame, partition_by)
+        if self._holds_files(table, partition_by):
+            self._widen_schema(table, frame.schema, partition_by)
+        else:
+            self._keep_schema(table, frame.schema, partition_by)
         counted, seen = _counted(frame)
         writer = counted.write.mode("append")
         if partition_by is not None:

@@ -33,6 +33,27 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    fs, target = _open(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = _open(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def partition_dirs(spark: SparkSession, table: str, column: str) -> dict[str | None, str]:
     """Map each value of the partition column to its directory name. Lists names only, no data."""
     fs, root = _open(spark, table)

@@ -299,3 +299,43 @@ def test_upsert_far_from_most_keys_keeps_them(spark, lake):
     assert (counts["rows_inserted"], counts["rows_updated"]) == (10, 10)
     got = {row["k"]: row["v"] for row in lake.read("far").collect()}
     assert got == {k: k if k < 490 else -k for k in range(510)}
+
+
+def jobs_of(spark, action):
+    """The jobs that an action starts."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        result = action()
+        return result, list(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_reading_a_table_starts_no_job(spark, lake):
+    first = spark.createDataFrame([(1, "x", "2031-04")], "k int, v string, month string")
+    wider = spark.createDataFrame([(2, 0.5, "2031-05")], "k int, w double, month string")
+    lake.append_new("kept", first, "month")
+    lake.append_new("kept", wider, "month")
+    lake.append("plain", first)
+    lake.append("plain", wider.drop("month"))
+    for table, by in (("kept", "month"), ("plain", None)):
+        frame, jobs = jobs_of(spark, lambda: lake.read(table, partition_by=by))
+        assert jobs == []
+        assert sorted(frame.columns) == ["k", "month", "v", "w"]
+        assert frame.select("k", "v", "w").orderBy("k").collect() == [(1, "x", None), (2, None, 0.5)]
+    footers = spark.read.option("mergeSchema", True).parquet(lake.path("kept")).schema
+    assert {f.name: f.dataType for f in lake.kept_schema("kept")} == {f.name: f.dataType for f in footers}
+
+
+def test_a_rewritten_table_has_the_new_schema_and_foreign_files_their_own(spark, lake):
+    rows = spark.createDataFrame([(1, "x")], "k int, v string")
+    lake.overwrite("t", rows)
+    lake.overwrite("t", rows.selectExpr("k", "2L AS n"))
+    assert lake.read("t").columns == ["k", "n"]
+    rows.withColumn("extra", F.lit(True)).write.mode("append").parquet(lake.path("t"))
+    assert lake.read("t").columns == ["k", "n"]
+    lake.forget_schema("t")
+    assert set(lake.read("t").columns) == {"k", "n", "v", "extra"}
+    rows.write.parquet(lake.path("foreign"))
+    lake.append("foreign", rows.withColumn("late", F.lit(1)))
+    assert set(lake.read("foreign").columns) == {"k", "v", "late"}

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from quaymill.operators.layout import (
     compact_clustered,
     file_ranges,
+    grouped_split_points,
     interleave,
+    points_reached,
     range_number,
     refile,
     split_points,
@@ -93,3 +95,33 @@ def test_split_points_ignore_nulls_and_repeats(spark):
     frame = spark.createDataFrame([(None,), (1,), (1,), (1,), (8,)], "x int")
     assert split_points(frame, ["x"], 2) == {"x": [1]}
     assert split_points(frame.where("x > 100"), ["x"], 2) == {"x": []}
+
+
+def test_each_month_is_cut_at_its_own_quantiles(spark, tmp_path):
+    source, packed = str(tmp_path / "source"), str(tmp_path / "packed")
+    spark.range(96_000).select(
+        F.when(F.col("id") % 12 > 0, F.format_string("m%02d", F.col("id") % 12)).alias("month"),
+        # Zones of one month lie far from those of every other.
+        (F.col("id") % 12 * 1000 + F.col("id") * 37 % 211).cast("int").alias("zone"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 17 % 31).cast("int")).alias("day"),
+    ).repartition(8).write.parquet(source)
+    compact_clustered(spark, source, packed, "month", COLUMNS, files=96)
+    names = ["month", "zone", "day"]
+    rows = [spark.read.parquet(path).select(*names).groupBy(*names).count().orderBy(*names).collect() for path in (source, packed)]
+    assert rows[0] == rows[1]
+    for month in (3, 8):
+        files = file_ranges(spark, f"{packed}/month=m{month:02d}", COLUMNS).collect()
+        zone, week = month * 1000 + 100, ("2024-01-08", "2024-01-14")
+        met = [f for f in files if f.min_zone <= zone <= f.max_zone and str(f.min_day) <= week[1] and str(f.max_day) >= week[0]]
+        assert len(files) >= 7 and len(met) <= 4
+
+
+def test_grouped_points_equal_those_of_each_group(spark):
+    rows = [("a", 1), ("a", 4), ("a", 9), ("b", 70), ("b", 90), (None, 5), ("c", None)]
+    frame = spark.createDataFrame(rows, "g string, x int")
+    found = {r.group_value: r.points_x for r in grouped_split_points(frame, "g", ["x"], 2).collect()}
+    for group in ("a", "b", "c"):
+        assert found[group] == split_points(frame.where(F.col("g") == group), ["x"], 2)["x"]
+    assert found[None] == [5]
+    numbers = frame.select(points_reached(F.array(F.lit(4), F.lit(9)), F.col("x"))).collect()
+    assert [r[0] for r in numbers] == [0, 1, 2, 2, 2, 1, 0]
