@@ -7,9 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from quaymill import trips
-from quaymill.functions.measures import Arithmetic, Floating
+from quaymill.functions.measures import ROWS, Arithmetic, Floating
 from quaymill.plans.silver import TRIPS as SILVER_TRIPS
-from quaymill.sources.lake import Lake
+from quaymill.sources.lake import Lake, key_bounds
 from quaymill.sources.workspace import Scratch
 
 ZONE_HOUR = "gold/revenue_by_zone_hour"
@@ -33,10 +33,28 @@ def compare_counts(silver: DataFrame, daily: DataFrame) -> DataFrame:
     return left.unionByName(right).agg(*sums)
 
 
+def states_table(arithmetic: Arithmetic) -> str:
+    """Partial sums of one arithmetic; those of another have other types."""
+    return f"gold/trip_states_{type(arithmetic).__name__.lower()}"
+
+
+def one_month_per_day(states: DataFrame) -> DataFrame:
+    """Rows of a day that several months share count for its latest month, so that they add up to one day."""
+    latest = states.groupBy(F.col("pickup_date").alias("_day")).agg(F.max(trips.BATCH).alias("_month"))
+    joined = states.join(latest, F.col("pickup_date").eqNullSafe(F.col("_day")), "left")
+    columns = [F.col("_month").alias(c) if c == trips.BATCH else F.col(c) for c in states.columns]
+    return joined.select(*columns)
+
+
 def build_gold(
     lake: Lake, months: Iterable[str] | None = None, arithmetic: Arithmetic = Floating()
 ) -> dict[str, Row]:
-    """Upsert the three marts for the given months, or all of silver; returns rows written."""
+    """Upsert the three marts for the given months, or all of silver; returns rows written.
+
+    Silver is read for these months only. Its sums at the coarsest common grain are kept per month, and a
+    day that other months share is summed again from their kept sums, so months can come one by one, in any
+    order. Such a day stands under its latest month; rows without a month have the earliest.
+    """
     present = lake.batches(SILVER_TRIPS, trips.BATCH)
     if not present and months is None:
         return {}
@@ -49,22 +67,37 @@ def build_gold(
     if months is not None:
         silver = silver.where(_in_months(months))
 
+    kept = states_table(arithmetic)
+    chosen = set(lake.batches(kept, trips.BATCH)) | set(present) if months is None else months
+    lake.replace_batches(kept, trips.trip_grain(silver, arithmetic), trips.BATCH, chosen)
+
     marts = trips.TripMarts(arithmetic)
     with Scratch(lake.spark, "gold") as scratch:
-        grain = scratch.keep(trips.trip_grain(silver, arithmetic), "grain")
-        hours = marts.revenue_by_zone_hour(grain)
+        states = lake.read(kept, partition_by=trips.BATCH)
+        renewed = states if months is None else states.where(_in_months(months))
+        elsewhere, shared = 0, states
+        if months is not None:
+            days = scratch.keep(renewed.select(F.col("pickup_date").alias("_day")).distinct(), "days")
+            near = states.where(key_bounds(days.select(F.col("_day").alias("pickup_date")), ["pickup_date"]))
+            shared = near.join(days, F.col("pickup_date").eqNullSafe(F.col("_day")), "left_semi")
+            other = shared.where(~F.coalesce(_in_months(months), F.lit(False)))
+            elsewhere = other.agg(F.coalesce(F.sum(ROWS), F.lit(0))).first()[0]
+        settled = scratch.keep(one_month_per_day(shared), "settled")
+        hours = marts.revenue_by_zone_hour(settled)
         written = {
             ZONE_HOUR: lake.upsert(ZONE_HOUR, hours, ZONE_HOUR_KEYS, partition_by=trips.BATCH),
-            DAILY: lake.upsert(DAILY, marts.daily_summary(grain), DAILY_KEYS),
-            PAYMENT: lake.upsert(PAYMENT, marts.payment_borough(grain), PAYMENT_KEYS),
+            DAILY: lake.upsert(DAILY, marts.daily_summary(settled), DAILY_KEYS),
+            PAYMENT: lake.upsert(PAYMENT, marts.payment_borough(renewed), PAYMENT_KEYS),
         }
 
-    daily = lake.read(DAILY)
-    if months is not None:
-        daily = daily.where(_in_months(months))
-    counts = compare_counts(silver, daily).first()
-    if counts["silver_rows"] != counts["gold_trips"]:
-        raise CountMismatch(f"daily trips do not match silver: {counts.asDict()}")
+        daily = lake.read(DAILY)
+        if months is not None:
+            # The renewed days, and whatever else stands under these months.
+            renewed_day = daily.join(days, F.col("pickup_date").eqNullSafe(F.col("_day")), "left")
+            daily = renewed_day.where(F.col("_day").isNotNull() | F.coalesce(_in_months(months), F.lit(False)))
+        counts = compare_counts(silver, daily).first()
+    if counts["silver_rows"] + elsewhere != counts["gold_trips"]:
+        raise CountMismatch(f"daily trips do not match silver: {counts.asDict()}, {elsewhere} of other months")
     return written
 
 

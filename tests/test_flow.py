@@ -229,6 +229,32 @@ def test_gold_notices_days_that_left_silver(lake, raw):
         build_gold(lake)
 
 
+def test_months_that_share_days_add_up_in_any_order(spark, tmp_path, lake, raw):
+    land(lake, raw)
+    build_silver(lake)
+    lost = F.when(F.col("pickup_hour") % 3 > 0, F.col(taxi.BATCH))
+    silver = lake.read(silver_plan.TRIPS, partition_by=taxi.BATCH).withColumn(taxi.BATCH, lost)
+    months = [row[0] for row in silver.select(taxi.BATCH).distinct().collect()]
+    assert None in months
+    known = sorted(month for month in months if month)
+    want = plain_daily(silver).orderBy("pickup_date")
+    for number, lots in enumerate(([[None], known], [known[:1], known[1:] + [None]], [None])):
+        one = Lake(spark, str(tmp_path / f"lots{number}"))
+        one.append_new(silver_plan.TRIPS, silver, taxi.BATCH)
+        for lot in lots:
+            build_gold(one, lot, Exact())
+        got = one.read(gold_plan.DAILY).select(*want.columns).orderBy("pickup_date").collect()
+        assert [tuple(row)[1:] for row in got] == [pytest.approx(tuple(row)[1:]) for row in want.collect()]
+        hours = one.read(gold_plan.ZONE_HOUR, partition_by=taxi.BATCH)
+        assert hours.count() == silver.select(*gold_plan.ZONE_HOUR_KEYS).distinct().count()
+        assert hours.agg(F.sum("trips")).first()[0] == silver.count()
+    # A day that silver no longer has under a renewed month is noticed.
+    first = silver.agg(F.min("pickup_date")).first()[0]
+    one.replace_batches(silver_plan.TRIPS, silver.where(F.col("pickup_date") > F.lit(first)), taxi.BATCH, known[:1])
+    with pytest.raises(CountMismatch):
+        build_gold(one, known[:1], Exact())
+
+
 def test_gold_without_silver_does_nothing(lake):
     assert build_gold(lake) == {}
 

@@ -344,6 +344,20 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL
           SELECT 'payment', source_month, NULL, NULL, NULL, pickup_borough, payment_type, trips,
             total_revenue, NULL, avg_tip, NULL, NULL, NULL FROM payments""",
+        "marts_by_month": silver
+        + f""", settled AS (SELECT * REPLACE (max(CASE WHEN pu_location_id % 7 <> 3 THEN source_month END)
+              OVER (PARTITION BY pickup_date) AS source_month) FROM cents),
+            daily AS ({_DAILY.replace("FROM cents", "FROM settled")}),
+            hours AS ({_ZONE_HOUR.replace("FROM cents", "FROM settled")})
+          SELECT 'daily' AS mart, source_month, pickup_date, CAST(NULL AS INTEGER) AS pickup_hour,
+            CAST(NULL AS INTEGER) AS pu_location_id, CAST(NULL AS VARCHAR) AS pickup_zone,
+            CAST(NULL AS VARCHAR) AS pickup_borough, trips, total_revenue, avg_fare,
+            CAST(NULL AS DOUBLE) AS avg_tip, avg_distance,
+            CAST(NULL AS DOUBLE) AS avg_duration_min, tip_pct FROM daily
+          UNION ALL
+          SELECT 'zone_hour', source_month, pickup_date, pickup_hour, pu_location_id, pickup_zone,
+            pickup_borough, trips, total_revenue, avg_fare, avg_tip, avg_distance,
+            avg_duration_min, NULL FROM hours""",
         "pipeline_ledger": silver + _LEDGER,
         "pipeline_table_rows": silver
         + """SELECT 'gold/revenue_by_zone_hour' AS table_name, count(*) AS rows FROM
