@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quaymill.llm.common import TERM, append_scores, fold, raw_bytes, run_hashes, scratch, word_runs
+from quaymill.llm.common import TERM, append_scores, fold, raw_bytes, run_hashes, scratch, text_slices, word_runs
 from quaymill.llm.sampling import fit_logistic, labelled_sample
 from quaymill.llm.transducers import OTHER, Arc, Transducer, best_path, compose
 
@@ -284,11 +284,13 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
 
     def features(batches):
         for batch in batches:
-            found = grammar.measure(batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), *(pa.array(found[:, n]) for n in range(width))],
-                ["label", *(f"f{n}" for n in range(width))],
-            )
+            for start, texts in text_slices(batch.column("text")):
+                found = grammar.measure(texts)
+                label = batch.column("label").slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [label, *(pa.array(found[:, n]) for n in range(width))],
+                    ["label", *(f"f{n}" for n in range(width))],
+                )
 
     schema = "label int, " + ", ".join(f"f{n} double" for n in range(width))
     table = sample.mapInArrow(features, schema).toArrow()
