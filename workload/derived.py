@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quaymill.functions.columns import month_key
+from quaymill.operators.dimensions import broadcast_if_small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,15 +25,18 @@ def _money(cents: Column) -> Column:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source columns and ``source_month``; one order in fifty has its rows twice."""
+    """Source columns and ``source_month``; one order in fifty has its rows twice.
+
+    The narrow tables are joined first, so that the line items are shuffled once, by order.
+    """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+    placed = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    placed = placed.select("o_orderkey", "o_orderdate", "c_nationkey")
+    joined = lines.join(placed, lines.l_orderkey == placed.o_orderkey).join(
+        broadcast_if_small(suppliers), lines.l_suppkey == suppliers.s_suppkey
     )
 
     part = "l_partkey"
