@@ -59,7 +59,8 @@ def first_rows(frame: DataFrame, size: int, order_by: list[str]) -> DataFrame:
 
     A plain limit sends ``size`` rows of every partition to one task. Here the rows up to the bound
     of the N-th are filtered out first, in the scan where they can be, and only these are range-
-    partitioned and numbered where they lie; one count per partition is added up.
+    partitioned and numbered where they lie; one count per partition is added up. The frame is read
+    several times, so what is costly to compute should be written first.
     """
     if size <= 0:
         return frame.limit(0)

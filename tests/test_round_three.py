@@ -50,7 +50,7 @@ def counted(spark, monkeypatch):
 
 @pytest.mark.parametrize(
     "name",
-    ["latest_writes"],
+    ["latest_writes", "first_trips"],
 )
 def test_trips_are_computed_once(spark, counted, name):
     queries.queries()[name](spark, "unused").collect()
