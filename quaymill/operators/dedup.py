@@ -6,12 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymill.operators.dimensions import BROADCAST_ROWS, within_rows
+from quaymill.operators.dimensions import BROADCAST_ROWS
 from quaymill.sources.workspace import Scratch
 
 COPIES = "_copies"
 HASH = "_key_hash"
 SUSPECT = "_suspect"
+WORD = "_word"
+# Suspect hashes per row of a full bit map: about a quarter of its 64 bits are set.
+PER_WORD = 16
 
 
 def keep_first(
@@ -43,6 +46,17 @@ class Deduplicated:
     """Rows that took no part."""
 
 
+def _marked_by_bits(hashed: DataFrame, suspects: DataFrame, words: int) -> DataFrame:
+    """Mark every row whose hash has its bit set in a map of at most ``words`` rows of 64 bits."""
+    word = F.pmod(F.col(HASH), F.lit(words)).alias(WORD)
+    bit = F.shiftrightunsigned(HASH, 58).cast("int")
+    single = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    bits = suspects.groupBy(word).agg(F.bit_or(single).alias("_bits"))
+    joined = hashed.withColumn(WORD, word).join(F.broadcast(bits), WORD, "left")
+    marked = joined.withColumn(SUSPECT, F.when(F.bit_get("_bits", bit) == 1, F.lit(True)))
+    return marked.drop(HASH, WORD, "_bits")
+
+
 def keep_first_per_batch(
     frame: DataFrame,
     keys: list[str],
@@ -57,7 +71,9 @@ def keep_first_per_batch(
     Only an 8-byte hash of the key is shuffled to find hashes seen twice. Rows with any other
     hash are unique and pass through without a shuffle; the few suspects are resolved exactly,
     so hash collisions cost time but never rows. If the suspect hashes outnumber
-    ``suspect_limit`` every row takes the shuffled way.
+    ``suspect_limit`` a bit map of so many words is broadcast instead, and up to a quarter of the
+    unique rows is resolved with the suspects; beyond ``PER_WORD`` times the limit every row takes
+    the shuffled way.
 
     Rows that meet ``exclude`` are left out and returned as ``aside``. They are picked up in the
     same pass as the suspects, which suits conditions that few rows meet. The result reads
@@ -70,9 +86,13 @@ def keep_first_per_batch(
     repeated = hashed.where(~exclude).groupBy(HASH).agg(F.count("*").alias("n"))
     suspects = scratch.keep(repeated.where(F.col("n") > 1).select(HASH), "repeated-keys")
 
-    if within_rows(suspects, suspect_limit):
-        known = F.broadcast(suspects.withColumn(SUSPECT, F.lit(True)))
-        marked = hashed.join(known, HASH, "left").drop(HASH)
+    found = suspects.count()
+    if found <= PER_WORD * suspect_limit:
+        if found <= suspect_limit:
+            known = F.broadcast(suspects.withColumn(SUSPECT, F.lit(True)))
+            marked = hashed.join(known, HASH, "left").drop(HASH)
+        else:
+            marked = _marked_by_bits(hashed, suspects, suspect_limit)
         # An excluded row may share a suspect hash; that changes nothing for it.
         suspect = F.col(SUSPECT).isNotNull()
         picked = scratch.keep(marked.where(exclude | suspect).drop(SUSPECT), "picked-rows")

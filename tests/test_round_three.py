@@ -50,7 +50,7 @@ def counted(spark, monkeypatch):
 
 @pytest.mark.parametrize(
     "name",
-    ["latest_writes", "first_trips"],
+    ["latest_writes", "first_trips", "month_reconciliation"],
 )
 def test_trips_are_computed_once(spark, counted, name):
     queries.queries()[name](spark, "unused").collect()
@@ -65,3 +65,18 @@ def test_line_items_are_shuffled_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 4
+
+
+@pytest.mark.parametrize("limit", [64, 7, 1])
+def test_many_repeated_keys_do_not_send_every_row_the_shuffled_way(spark, limit):
+    """40 repeated keys among 2,000: exact, by a bit map, and (one word) all rows."""
+    frame = spark.range(2_040).selectExpr("id % 2000 AS k", "if(id % 11 = 0, null, 'b') AS batch", "id AS v")
+    with Scratch(spark, "bits") as scratch:
+        result = keep_first_per_batch(
+            frame, ["k"], "batch", exclude=F.col("v") % 10 == 3, suspect_limit=limit, scratch=scratch
+        )
+        want = keep_first(frame.where("v % 10 != 3"), ["batch", "k"]).select(*frame.columns)
+        assert sorted(map(str, result.rows.collect())) == sorted(map(str, want.collect()))
+        assert result.aside.count() == frame.where("v % 10 = 3").count()
+        resolved = spark.read.parquet(f"{scratch.path}/resolved-keys").count()
+        assert resolved < 900 if limit > 1 else resolved == want.count()

@@ -84,12 +84,12 @@ def quarantine_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def month_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, lookup = derived.bronze(spark, sf_dir), _lookup(spark, sf_dir)
-    classified = taxi.classify_trips(bronze, lookup)
+    classified = _kept(taxi.classify_trips(bronze, lookup))
     unique = keep_first_per_batch(
         classified, taxi.TRIP_KEY, MONTH, exclude=F.col(REASON).isNotNull()
     )
     silver = taxi.to_silver(unique.rows, lookup)
-    return silver_plan.reconcile(bronze, silver, unique.aside, unique.removed)
+    return silver_plan.reconcile(classified, silver, unique.aside, unique.removed)
 
 
 # --- dedup and enrichment -------------------------------------------------------------------
