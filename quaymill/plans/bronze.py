@@ -14,6 +14,7 @@ from quaymill.operators.schema import columns_first, fit_schema, stamp
 from quaymill.sources.files import read_batches, read_json_lines, read_text_csv
 from quaymill.sources.jdbc import JdbcSource, Slices, read_jdbc
 from quaymill.sources.lake import Lake
+from quaymill.sources.workspace import Scratch
 
 TRIPS = "bronze/trips"
 ZONES = "bronze/zones"
@@ -122,8 +123,13 @@ def months_present(frame: DataFrame) -> DataFrame:
 
 
 def month_sample(rows: DataFrame, month: str, size: int, order_by: list[str]) -> DataFrame:
-    """The first ``size`` rows of a pickup month; the order makes the sample repeatable."""
-    return first_rows(rows.where(in_month(F.col(trips.TRIP_TIMES[0]), month)), size, order_by)
+    """The first ``size`` rows of a pickup month; the order makes the sample repeatable.
+
+    The month is written once, as the search for its first rows reads it several times.
+    """
+    chosen = rows.where(in_month(F.col(trips.TRIP_TIMES[0]), month))
+    kept = Scratch(rows.sparkSession, "month").keep(chosen, "rows")
+    return first_rows(kept, size, order_by)
 
 
 def inspect(bronze: DataFrame, rows: int = 5) -> DataFrame:

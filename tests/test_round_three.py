@@ -50,13 +50,20 @@ def counted(spark, monkeypatch):
 
 @pytest.mark.parametrize(
     "name",
-    ["latest_writes", "first_trips", "month_reconciliation"],
+    ["latest_writes", "first_trips", "month_reconciliation", "exported_month_sample", "pickup_month_sample"],
 )
 def test_trips_are_computed_once(spark, counted, name):
     queries.queries()[name](spark, "unused").collect()
     assert counted.value == ROWS
 
 
+def test_a_month_is_written_once_before_its_first_rows_are_sought(spark, counted):
+    rows = derived.trips(spark, "unused")
+    got = bronze_plan.month_sample(rows, "1995-03", 5, rows.columns).collect()
+    want = own_trips(spark).where("source_month = '1995-03'").orderBy(*rows.columns).limit(5).collect()
+    assert sorted(got) == sorted(want) and counted.value == ROWS
+
+
 def test_line_items_are_shuffled_once(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
