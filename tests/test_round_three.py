@@ -74,6 +74,15 @@ def test_line_items_are_shuffled_once(spark):
     assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 4
 
 
+def test_json_export_is_compressed(spark, tmp_path):
+    path, rows = str(tmp_path / "out"), own_trips(spark).drop("source_month")
+    write_json_lines(taxi.text_times(rows), path)
+    data = [file for file in Path(path).iterdir() if file.name.startswith("part-")]
+    assert data and all(file.name.endswith(".json.gz") for file in data)
+    back = taxi.parse_times(read_json_lines(spark, path, taxi.json_schema()))
+    assert sorted(back.collect()) == sorted(rows.collect())
+
+
 @pytest.mark.parametrize("limit", [64, 7, 1])
 def test_many_repeated_keys_do_not_send_every_row_the_shuffled_way(spark, limit):
     """40 repeated keys among 2,000: exact, by a bit map, and (one word) all rows."""
