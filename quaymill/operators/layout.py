@@ -10,6 +10,8 @@ from quaymill.operators.dimensions import broadcast_if_small
 from quaymill.sources.files import storage_stats
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# A task sorts its rows, which take several times their size in a file: more rows would spill.
+TASK_ROWS = 2_000_000
 
 
 def split_points(frame: DataFrame, columns: list[str], bits: int) -> dict[str, list]:
@@ -50,9 +52,22 @@ def grouped_split_points(frame: DataFrame, group: str, columns: list[str], bits:
     return cut.select("group_value", *points)
 
 
-def points_reached(points: Column, value: Column) -> Column:
-    """``range_number`` where the points stand in an array column."""
-    return F.size(F.filter(points, lambda point: point <= value)).cast("bigint")
+def points_reached(points: Column, value: Column, most: int = 31) -> Column:
+    """``range_number`` where up to ``most`` sorted points stand in an array column.
+
+    Nested halving over single elements compiles; a lambda over the array would be interpreted per row.
+    """
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        # Beyond the end of the array the element is null: never reached.
+        return F.when(value >= F.get(points, F.lit(middle)), search(middle + 1, high)).otherwise(
+            search(low, middle)
+        )
+
+    return search(0, most).cast("bigint")
 
 
 def interleave(numbers: list[Column], bits: int) -> Column:
@@ -91,16 +106,17 @@ def compact_clustered(
     the other partitions'. The range split goes on by the row's place in its source file, so neither a hot
     value nor a group of equal rows can outgrow one task; that place is the same on every retry.
     """
+    table = spark.read.parquet(source)
     if files is None:
         size = storage_stats(spark, source).first()["size_bytes"]
-        files = max(1, math.ceil(size / TARGET_FILE_BYTES))
-    table = spark.read.parquet(source)
+        # The count comes from the footers.
+        files = max(1, math.ceil(size / TARGET_FILE_BYTES), math.ceil(table.count() / TASK_ROWS))
     curve, place = "_curve", "_place"
     # One row per partition directory.
     points = broadcast_if_small(grouped_split_points(table, partition_by, columns, bits))
     rows = table.select("*", F.col("_metadata.row_index").alias(place))
     cut = rows.join(points, F.col(partition_by).eqNullSafe(F.col("group_value")), "left")
-    numbers = [points_reached(F.col(f"points_{c}"), F.col(c)) for c in columns]
+    numbers = [points_reached(F.col(f"points_{c}"), F.col(c), 2**bits - 1) for c in columns]
     placed = cut.select(*table.columns, interleave(numbers, bits).alias(curve), place)
     spread = placed.repartitionByRange(files, partition_by, curve, place)
     ordered = spread.sortWithinPartitions(partition_by, curve, *columns)

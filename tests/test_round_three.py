@@ -96,3 +96,18 @@ def test_many_repeated_keys_do_not_send_every_row_the_shuffled_way(spark, limit)
         assert result.aside.count() == frame.where("v % 10 = 3").count()
         resolved = spark.read.parquet(f"{scratch.path}/resolved-keys").count()
         assert resolved < 900 if limit > 1 else resolved == want.count()
+
+
+def test_points_in_an_array_are_reached_as_before(spark):
+    frame = spark.createDataFrame([([2, 4, 9], v) for v in (None, 1, 2, 5, 9, 10)] + [([], 3)], "p array<int>, v int")
+    got = [row[0] for row in frame.select(layout.points_reached(F.col("p"), F.col("v"), 7)).collect()]
+    assert got == [0, 0, 1, 2, 3, 3, 0]
+
+
+def test_compaction_bounds_the_rows_a_task_sorts(spark, tmp_path, monkeypatch):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(1_000).selectExpr("'m' AS batch", "id AS k", "id % 7 AS v").write.parquet(source)
+    monkeypatch.setattr(layout, "TASK_ROWS", 250)
+    layout.compact_clustered(spark, source, path, "batch", ["k", "v"])
+    assert spark.read.parquet(path).count() == 1_000
+    assert len(list(Path(path, "batch=m").glob("*.parquet"))) == 4
