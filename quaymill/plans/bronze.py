@@ -62,9 +62,14 @@ def ingest_files(lake: Lake, paths: Mapping[str, str]) -> list[str]:
     return sorted(missing)
 
 
-def ingest_months(lake: Lake, rows: DataFrame, source_system: str, source_file: str) -> None:
-    """Land rows that carry their month, for every month that bronze lacks, in one job."""
-    _land(lake, _fit_to_bronze(lake, rows), source_system, source_file=source_file)
+def ingest_months(
+    lake: Lake, rows: DataFrame, source_system: str, source_file: str, rebalance: bool = True
+) -> None:
+    """Land rows that carry their month, for every month that bronze lacks, in one job.
+
+    A source that lies in files by month needs no shuffle: pass ``rebalance=False``.
+    """
+    _land(lake, _fit_to_bronze(lake, rows), source_system, rebalance, source_file=source_file)
 
 
 def ingest_month(

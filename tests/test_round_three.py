@@ -111,3 +111,14 @@ def test_compaction_bounds_the_rows_a_task_sorts(spark, tmp_path, monkeypatch):
     layout.compact_clustered(spark, source, path, "batch", ["k", "v"])
     assert spark.read.parquet(path).count() == 1_000
     assert len(list(Path(path, "batch=m").glob("*.parquet"))) == 4
+
+
+def test_months_that_lie_by_month_land_without_a_shuffle(spark, lake, tmp_path, monkeypatch):
+    raw = Lake(spark, str(tmp_path / "raw"))
+    raw.append("trips", own_trips(spark), taxi.BATCH)
+    staged = []
+    stage = Lake.stage
+    monkeypatch.setattr(Lake, "stage", lambda self, table, frame, *rest: staged.append(frame) or stage(self, table, frame, *rest))
+    bronze_plan.ingest_months(lake, raw.read("trips", partition_by=taxi.BATCH), "parquet", "trips", rebalance=False)
+    assert "Rebalance" not in staged[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert lake.read(bronze_plan.TRIPS, partition_by=taxi.BATCH).count() == ROWS

@@ -375,7 +375,8 @@ def _refined(spark: SparkSession, sf_dir: str) -> Lake:
     zones.write.option("header", True).csv(raw.path("zones"))
 
     bronze_plan.ingest_zones(lake, raw.path("zones"))
-    bronze_plan.ingest_months(lake, rows.where(F.col(MONTH) < first), "parquet", "trips")
+    earlier = rows.where(F.col(MONTH) < first)
+    bronze_plan.ingest_months(lake, earlier, "parquet", "trips", rebalance=False)
     files = {month: f"{raw.path('trips')}/{MONTH}={month}" for month in (first, second)}
     bronze_plan.ingest_files(lake, files)
     bronze_plan.ingest_json(lake, raw.path("json"), last)
