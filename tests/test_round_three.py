@@ -50,7 +50,8 @@ def counted(spark, monkeypatch):
 
 @pytest.mark.parametrize(
     "name",
-    ["latest_writes", "first_trips", "month_reconciliation", "exported_month_sample", "pickup_month_sample"],
+    ["latest_writes", "first_trips", "month_reconciliation", "exported_month_sample",
+     "pickup_month_sample", "upsert_daily", "upsert_metrics", "upsert_moved_keys"],
 )
 def test_trips_are_computed_once(spark, counted, name):
     queries.queries()[name](spark, "unused").collect()

@@ -315,10 +315,9 @@ def backfill_source_system(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upserted_daily(spark: SparkSession, sf_dir: str) -> Lake:
-    lake, measures = _lake(spark, "upsert"), _measures(spark, sf_dir)
+    lake, daily = _lake(spark, "upsert"), _kept(MARTS.daily_summary(_measures(spark, sf_dir)))
     for chosen in (F.col(MONTH) <= "1998-06", F.col(MONTH) >= "1998-01"):
-        daily = MARTS.daily_summary(measures.where(chosen))
-        lake.upsert("daily", daily, ["pickup_date"])
+        lake.upsert("daily", daily.where(chosen), ["pickup_date"])
     return lake
 
 
@@ -351,10 +350,11 @@ def latest_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each zone's latest month; the second run moves zones to another partition."""
-    lake, silver = _lake(spark, "moved"), _silver(spark, sf_dir)
+    lake, per_month = _lake(spark, "moved"), _silver(spark, sf_dir).groupBy("pu_location_id", MONTH)
+    counts = _kept(per_month.agg(F.count("*").alias("trips")))
     for chosen in (F.col(MONTH) <= "1998-06", F.lit(True)):
-        latest = silver.where(chosen).groupBy("pu_location_id")
-        zones = latest.agg(F.max(MONTH).alias(MONTH), F.count("*").alias("trips"))
+        latest = counts.where(chosen).groupBy("pu_location_id")
+        zones = latest.agg(F.max(MONTH).alias(MONTH), F.sum("trips").alias("trips"))
         lake.upsert("zones", zones, ["pu_location_id"], partition_by=MONTH)
     return lake.read("zones", partition_by=MONTH)
 
