@@ -335,7 +335,8 @@ class Lake:
         filled = F.coalesce(F.col(column), F.lit(value).cast(dtype))
         chosen = current.where(_one_of(partition_by, affected)).withColumn(column, filled)
         self._require_same_types(table, chosen, partition_by)
-        staged = self.stage(table, chosen, partition_by)
+        # A scan task holds more rows than a task should sort for a partitioned write.
+        staged = self.stage(table, chosen.hint("rebalance", partition_by), partition_by)
         self.publish(table, staged, partition_by, affected)
         self._record(table, "UPDATE", updated=sum(affected.values()))
         return True

@@ -123,3 +123,13 @@ def test_months_that_lie_by_month_land_without_a_shuffle(spark, lake, tmp_path,
     bronze_plan.ingest_months(lake, raw.read("trips", partition_by=taxi.BATCH), "parquet", "trips", rebalance=False)
     assert "Rebalance" not in staged[0]._jdf.queryExecution().optimizedPlan().toString()
     assert lake.read(bronze_plan.TRIPS, partition_by=taxi.BATCH).count() == ROWS
+
+
+def test_filled_batches_are_rebalanced_before_they_are_sorted(spark, lake, monkeypatch):
+    lake.append("trips", own_trips(spark).withColumn("system", F.lit(None).cast("string")), taxi.BATCH)
+    staged = []
+    stage = Lake.stage
+    monkeypatch.setattr(Lake, "stage", lambda self, table, frame, *rest: staged.append(frame) or stage(self, table, frame, *rest))
+    assert lake.fill_nulls("trips", "system", "parquet", taxi.BATCH)
+    assert "Rebalance" in staged[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert lake.read("trips", partition_by=taxi.BATCH).where("system = 'parquet'").count() == ROWS
