@@ -12,8 +12,10 @@ bucket whose texts are in one class nothing is left to do. Then what is still op
 of a bucket that are not in its largest class are a query set, which is compared with all texts of
 the bucket in blocks. Of two linked texts the longer one, of n terms, loses floor(n / 5) terms at most,
 so both have n - floor(n / 5) in common; their counts over hashed terms, two cells to a term,
-tell which pairs can. Only these leave the block. There is no cap on buckets, partners or
-candidates.
+tell which pairs can. Only these leave the block, as lists of partners cut into tiles: a tile holds the
+texts of some thousand pairs once, aligns the pairs that its links have not joined yet and
+returns the links that join its texts, fewer than it has texts. There is no cap on buckets,
+partners or candidates.
 
 Decision. Two texts are linked if the edit distance of their term sequences is at most 20 % of
 the longer one. It is computed exactly within that band, bit-parallel over the band's width, after
@@ -67,6 +69,10 @@ SMALLEST = 128
 # Cells of the counts of a text, as a power of two, at least.
 LEAST_CELLS = 8
 FULL = 65_535
+# The most shared buckets of a block, of which each text has a bit.
+COMMON_BUCKETS = 1 << 10
+# Pairs of a tile, about.
+TILE_PAIRS = 1 << 12
 # Words of the broadcast bit map that tells which texts are read again.
 FILTER_WORDS = 1 << 16
 
@@ -321,37 +327,62 @@ def _count_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("tid"), pa.array(blobs, pa.binary())], ["tid", "counts"])
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of a query text and a text of its block that may be linked.
-
-    A pair that meets in several buckets comes from the least of them. Rows come sorted by (bucket, part); a block's rows may span batches.
-    """
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The rows of each value of the named columns; they come sorted by them and may span batches."""
     rest, key = [], None
     for batch in batches:
-        keys = np.stack([batch.column(name).to_numpy() for name in ("bucket", "part")])
+        keys = np.stack([batch.column(name).to_numpy() for name in names])
         edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         starts = [0, *edges.tolist(), batch.num_rows]
         for start, end in zip(starts, starts[1:]):
             if start < end:
                 if rest and key != tuple(keys[:, start]):
-                    yield from _one_block(rest)
+                    yield pa.Table.from_batches(rest)
                     rest = []
-                # The last block may go on in the next batch.
+                # The last group may go on in the next batch.
                 key = tuple(keys[:, start])
                 rest.append(batch.slice(start, end - start))
     if rest:
-        yield from _one_block(rest)
+        yield pa.Table.from_batches(rest)
 
 
-def _one_block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = pa.Table.from_batches(parts)
-    tid, own, size, asks, home = (rows[name].to_numpy(zero_copy_only=False) for name in ("tid", "class", "n_terms", "asks", "home"))
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of a query text and a text of its block that may be linked.
+
+    A pair that meets in several buckets comes from the least of them.
+    """
+    for rows in _groups(batches, ["bucket", "part"]):
+        pairs = _one_block(rows)
+        if pairs.size:
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
+def _common_bits(bucket: int, buckets: pa.ChunkedArray) -> np.ndarray:
+    """A row of bits per text: which of the smaller buckets that most texts here share hold it."""
+    lists = buckets.combine_chunks()
+    text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    found = lists.flatten().to_numpy()
+    text, found = text[found < bucket], found[found < bucket]
+    values, place, times = np.unique(found, return_inverse=True, return_counts=True)
+    most = np.argsort(-times, kind="stable")[:COMMON_BUCKETS]
+    column = np.full(len(values), -1)
+    column[most] = np.arange(len(most))
+    known = column[place] >= 0
+    bits = np.zeros((len(lists), max(len(most), 1)), bool)
+    bits[text[known], column[place][known]] = True
+    return np.packbits(bits, axis=1)
+
+
+def _one_block(rows: pa.Table) -> np.ndarray:
+    """The pairs of a block, the smaller tid of each above the larger."""
+    tid, own, size, asks, home = (rows[name].to_numpy() for name in ("tid", "class", "n_terms", "asks", "home"))
     counts = [one for chunk in rows["counts"].chunks for one in _arrays(chunk, np.uint16)]
     cells = np.array([len(one) for one in counts])
+    bucket = rows["bucket"][0].as_py()
+    bits = _common_bits(bucket, rows["buckets"])
     # At most one bucket for each sketch of a text.
     buckets = [frozenset(found) for found in rows["buckets"].to_pylist()]
-    bucket = rows["bucket"][0].as_py()
-    lefts, rights = [], []
+    lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for width in np.unique(cells[home]).tolist():
         here = np.flatnonzero(home & (cells == width))
         others = np.stack([counts[row] for row in here])
@@ -359,6 +390,8 @@ def _one_block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             longer = np.maximum(size[here], size[row])
             most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
             fits = np.flatnonzero((own[here] != own[row]) & (np.abs(size[here] - size[row]) <= most))
+            # A smaller bucket in common has the pair.
+            fits = fits[~(bits[here[fits]] & bits[row]).any(axis=1)]
             if len(fits):
                 at_once = max(1, SLICE_BYTES // (2 * width))
                 common = np.concatenate(
@@ -368,14 +401,86 @@ def _one_block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 fits = fits[np.array([bucket == min(buckets[row] & buckets[other]) for other in here[fits].tolist()], bool)]
                 lefts.append(np.full(len(fits), tid[row]))
                 rights.append(tid[here[fits]])
-    if lefts:
-        left, right = np.concatenate(lefts), np.concatenate(rights)
-        pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+    left, right = np.concatenate(lefts), np.concatenate(rights)
+    return np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
+
 
+# --- tiles ----------------------------------------------------------------------------------
 
-def _open_pairs(rest: DataFrame, terms: DataFrame, space: Scratch) -> DataFrame:
-    """All pairs of texts of one bucket that are in different classes and may be linked.
+
+def _block_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (tile, tid, partners) of the pairs of each block: each text of a tile once, with the larger texts to test it with.
+
+    The texts of a block are cut into as many strips as make tiles of TILE_PAIRS pairs, a tile being two strips.
+    """
+    for rows in _groups(batches, ["bucket", "part"]):
+        pairs = _one_block(rows)
+        if not pairs.size:
+            continue
+        texts, place = np.unique(pairs, return_inverse=True)
+        strips = int(np.ceil(np.sqrt(pairs.shape[1] / TILE_PAIRS)))
+        first, second = place.reshape(pairs.shape) * strips // len(texts)
+        seed = np.array([rows[name][0].as_py() for name in ("bucket", "part")]).view(np.uint64)
+        for tile in np.unique(first * strips + second).tolist():
+            left, right = pairs[:, first * strips + second == tile]
+            order = np.argsort(left, kind="stable")
+            members = np.unique(np.stack([left, right]))
+            at = np.searchsorted(left[order], np.append(members, members[-1] + 1))
+            partners = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(right[order]))
+            key = mixed(mixed(seed[:1] + seed[1:] * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(tile)).view(np.int64)
+            columns = [pa.array(np.repeat(key, len(members))), pa.array(members), partners]
+            yield pa.RecordBatch.from_arrays(columns, ["tile", "tid", "partners"])
+
+
+def _occurrences(runs: np.ndarray) -> np.ndarray:
+    """Each run with how often it occurred before, hashed and sorted: equal ones match one to one."""
+    return np.sort(_labelled(runs, np.zeros(len(runs), np.int64)))
+
+
+def _in_common(one: np.ndarray, other: np.ndarray) -> int:
+    """How many values two sorted arrays without repeats have in common."""
+    if not len(one) or not len(other):
+        return 0
+    place = np.minimum(np.searchsorted(one, other), len(one) - 1)
+    return int((one[place] == other).sum())
+
+
+def tile_links(terms: dict[int, np.ndarray], pairs: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Of the pairs of texts that are linked those that join two groups, which are all joined by links before."""
+    single = {tid: _occurrences(one) for tid, one in terms.items()}
+    double = {tid: _occurrences(shingle_hashes(one, 2)) for tid, one in terms.items()}
+    above = {tid: tid for tid in terms}
+
+    def top(tid: int) -> int:
+        while above[tid] != tid:
+            above[tid] = tid = above[above[tid]]
+        return tid
+
+    for a, b in pairs:
+        if top(a) == top(b):
+            continue
+        longer = max(len(terms[a]), len(terms[b]))
+        most = int((1 - SIMILARITY) * longer + 1e-9)
+        # The bounds of alignment_similarity, from what is sorted once for all pairs of a text.
+        if longer - _in_common(single[a], single[b]) > most or longer - 1 - _in_common(double[a], double[b]) > 2 * most:
+            continue
+        if banded_distance(terms[a].tolist(), terms[b].tolist(), most) is not None:
+            above[top(a)] = top(b)
+            yield a, b
+
+
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _groups(batches, ["tile"]):
+        tids = rows["tid"].to_pylist()
+        terms = dict(zip(tids, (one for chunk in rows["terms"].chunks for one in _arrays(chunk, np.uint64))))
+        pairs = ((a, b) for a, partners in zip(tids, rows["partners"].to_pylist()) for b in partners)
+        links = list(tile_links(terms, pairs))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(end, pa.int64()) for end in zip(*links)], ["a", "b"])
+
+
+def _open_links(rest: DataFrame, terms: DataFrame, space: Scratch) -> DataFrame:
+    """Links that join all texts that are in different classes, share a bucket and are linked.
 
     ``rest`` has bucket, tid, n_terms and class of the open buckets; of those with the same texts
     one is read. The query set of a bucket is sent to each of its blocks, its other texts to one.
@@ -399,7 +504,10 @@ def _open_pairs(rest: DataFrame, terms: DataFrame, space: Scratch) -> DataFrame:
     placed = placed.withColumn("part", F.explode(places)).withColumn("home", F.col("part") == F.col("own_part"))
     rows = placed.select("bucket", "part", "tid", "class", "n_terms", "asks", "home").join(counts, "tid")
     blocks = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return blocks.mapInArrow(_block_pairs, "a long, b long").distinct()
+    tiles = space.keep(blocks.mapInArrow(_block_tiles, "tile long, tid long, partners array<long>"), "tiles")
+    # Only texts of a tile are read, once for all their pairs in it.
+    placed = tiles.join(terms, "tid").repartition("tile").sortWithinPartitions("tile")
+    return placed.select("tile", "tid", "partners", "terms").mapInArrow(_tile_links, "a long, b long")
 
 
 def _id_key(doc_id: str) -> Column:
@@ -472,7 +580,7 @@ def text_classes(docs: DataFrame, doc_id: str, text: str, space: Scratch) -> Dat
     for turn in range(len(PIVOTS)):
         test(_best_pivots(rest, turn, space))
         rest = _open(rest.select(*shared.columns), stars, space, f"{turn}")
-    test(_open_pairs(rest, terms, space))
+    stars = components(_open_links(rest, terms, space).union(stars), space, "stars")
     return (
         texts.join(stars.toDF("tid", "least"), "tid", "left")
         .select("text_key", "doc_id", "id_key", F.coalesce("least", "tid").alias("class_key"))
