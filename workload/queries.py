@@ -284,7 +284,7 @@ def first_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def append_new_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the months up to 1998-06, then offer every month: only the rest may be added."""
-    lake, rows = _lake(spark, "append"), derived.bronze(spark, sf_dir)
+    lake, rows = _lake(spark, "append"), _kept(derived.bronze(spark, sf_dir))
     lake.append_new("trips", rows.where(F.col(MONTH) <= "1998-06"), MONTH)
     lake.append_new("trips", rows, MONTH)
     return bronze_plan.month_counts(lake.read("trips", partition_by=MONTH))
