@@ -38,14 +38,19 @@ def any_outside(values: list[Column], limit: Range) -> Column:
         return F.col(given) if isinstance(given, str) else F.lit(given)
 
     def outside(value: Column) -> Column:
+        # A filter computes the value anew wherever it is named, so it is named as seldom as possible.
         broken = F.lit(False)
-        if limit.least is not None:
-            broken = broken | (value < end(limit.least))
+        if limit.least is not None and limit.least == limit.most:
+            broken = broken | (value != end(limit.least))
+        else:
+            if limit.least is not None:
+                broken = broken | (value < end(limit.least))
+            if limit.most is not None:
+                broken = broken | (value > end(limit.most))
         if limit.above is not None:
             broken = broken | (value <= end(limit.above))
-        if limit.most is not None:
-            broken = broken | (value > end(limit.most))
-        return F.when(value.isNull(), F.lit(limit.required)).otherwise(F.coalesce(broken, F.lit(False)))
+        broken = F.coalesce(broken, F.lit(False))
+        return value.isNull() | broken if limit.required else broken
 
     return reduce(operator.or_, map(outside, values))
 

@@ -90,9 +90,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money(F.expr("fare_c * (100 + tax_pct) div 100")).alias("total_amount"),
         F.lit(2.5).alias("congestion_surcharge"),
         (F.col("l_linenumber") % 3 * F.lit(1.25)).alias("Airport_fee"),
-        F.when(_hits(part, 61), month_key(F.timestamp_add("DAY", F.lit(40), order_day)))
-        .otherwise(month_key(order_day))
-        .alias("source_month"),
+        month_key(
+            F.when(_hits(part, 61), F.timestamp_add("DAY", F.lit(40), order_day)).otherwise(order_day)
+        ).alias("source_month"),
         F.explode(copies).alias("copy"),
     )
     return derived.drop("copy")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from quaymill import trips as taxi
@@ -42,8 +42,24 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = _lookup(spark, sf_dir)
+    return taxi.to_silver(_unique_trips(spark, sf_dir, lookup), lookup)
+
+
+def _unique_trips(spark: SparkSession, sf_dir: str, lookup: DataFrame) -> DataFrame:
     valid = passed(taxi.classify_trips(derived.bronze(spark, sf_dir), lookup))
-    return taxi.to_silver(taxi.drop_duplicate_trips(valid), lookup)
+    return taxi.drop_duplicate_trips(valid)
+
+
+def _silver_by_month(spark: SparkSession, sf_dir: str, month: Column | None = None) -> DataFrame:
+    """Silver rebalanced by month for a partitioned write, before the zones' names make its rows wide.
+
+    ``month`` is another month for each trip.
+    """
+    lookup = _lookup(spark, sf_dir)
+    unique = _unique_trips(spark, sf_dir, lookup)
+    if month is not None:
+        unique = unique.withColumn(MONTH, month)
+    return taxi.to_silver(unique.hint("rebalance", MONTH), lookup)
 
 
 def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,8 +308,8 @@ def append_new_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replace_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace two months: one by part of its rows, one by none."""
-    lake, silver = _lake(spark, "replace"), silver_trips(spark, sf_dir)
-    lake.append("trips", silver.hint("rebalance", MONTH), MONTH)
+    lake, silver = _lake(spark, "replace"), _silver_by_month(spark, sf_dir).drop("silver_ts")
+    lake.append("trips", silver, MONTH)
     table = lake.read("trips", partition_by=MONTH)
     kept = table.where((F.col(MONTH) == BENCH_MONTH) & (F.col("payment_type") != 1))
     lake.replace_batches("trips", kept, MONTH, [BENCH_MONTH, "1996-02"])
