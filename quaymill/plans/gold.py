@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from quaymill import trips
 from quaymill.functions.measures import ROWS, Arithmetic, Floating
+from quaymill.operators.dimensions import broadcast_if_small
 from quaymill.plans.silver import TRIPS as SILVER_TRIPS
 from quaymill.sources.lake import Lake, key_bounds
 from quaymill.sources.workspace import Scratch
@@ -38,9 +39,11 @@ def states_table(arithmetic: Arithmetic) -> str:
     return f"gold/trip_states_{type(arithmetic).__name__.lower()}"
 
 
-def one_month_per_day(states: DataFrame) -> DataFrame:
+def one_month_per_day(states: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows of a day that several months share count for its latest month, so that they add up to one day."""
     latest = states.groupBy(F.col("pickup_date").alias("_day")).agg(F.max(trips.BATCH).alias("_month"))
+    # Written and counted, the days are few: the sums stay where they are and take no shuffle.
+    latest = broadcast_if_small(scratch.keep(latest, "latest"))
     joined = states.join(latest, F.col("pickup_date").eqNullSafe(F.col("_day")), "left")
     columns = [F.col("_month").alias(c) if c == trips.BATCH else F.col(c) for c in states.columns]
     return joined.select(*columns)
@@ -82,7 +85,7 @@ def build_gold(
             shared = near.join(days, F.col("pickup_date").eqNullSafe(F.col("_day")), "left_semi")
             other = shared.where(~F.coalesce(_in_months(months), F.lit(False)))
             elsewhere = other.agg(F.coalesce(F.sum(ROWS), F.lit(0))).first()[0]
-        settled = scratch.keep(one_month_per_day(shared), "settled")
+        settled = one_month_per_day(shared, scratch)
         hours = marts.revenue_by_zone_hour(settled)
         written = {
             ZONE_HOUR: lake.upsert(ZONE_HOUR, hours, ZONE_HOUR_KEYS, partition_by=trips.BATCH),

@@ -425,9 +425,10 @@ def marts_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The rows without a month come second, a month that was already built comes again with the last lot.
     """
-    lake, silver = _lake(spark, "lots"), _silver(spark, sf_dir)
-    lost = F.when(F.col("pu_location_id") % 7 != 3, F.col(MONTH))
-    lake.append_new(silver_plan.TRIPS, silver.withColumn(MONTH, lost), MONTH)
+    lake = _lake(spark, "lots")
+    lost = F.when(F.col("PULocationID") % 7 != 3, F.col(MONTH))
+    silver = _silver_by_month(spark, sf_dir, lost)
+    lake.append_new(silver_plan.TRIPS, silver, MONTH, rebalance=False)
     months = [month for month in lake.batches(silver_plan.TRIPS, MONTH) if month is not None]
     half = len(months) // 2
     for lot in (months[:half], [None], months[half - 1 :]):
